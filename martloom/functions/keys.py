@@ -25,9 +25,15 @@ def uuid5(*parts: Column, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column:
     """
     name = F.concat_ws(NAME_SEPARATOR, *[p.cast("string") for p in parts])
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
+    # The digest is read six times; as a lambda variable it is one node of the plan, so keys of
+    # keys (links over hubs) stay small.
+    return F.when(~_any_null(parts), F.transform(F.array(digest), _uuid5_text)[0])
+
+
+def _uuid5_text(digest: Column) -> Column:
     # The variant digit keeps its two low bits under the fixed high bits 10.
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    text = F.concat(
+    return F.concat(
         F.substring(digest, 1, 8),
         F.lit("-"),
         F.substring(digest, 9, 4),
@@ -39,7 +45,6 @@ def uuid5(*parts: Column, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column:
         F.lit("-"),
         F.substring(digest, 21, 12),
     )
-    return F.when(~_any_null(parts), text)
 
 
 def hash_key(*cols: Column, algo: str = "xxhash64") -> Column:

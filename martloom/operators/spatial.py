@@ -83,14 +83,13 @@ def nearest_centre(
         F.col(centre_lon).cast("double").alias("lon"), *[F.col(p).alias(f"p_{p}") for p in payload],
     )
     listed = _with_vector(listed)
-    head = listed.limit(list_limit + 1).collect()
     place = F.col(lat), F.col(lon)
-    if len(head) <= list_limit:
+    if listed.limit(list_limit + 1).count() <= list_limit:
         if box_degrees is not None:
             cells = _box_cells(listed, box_degrees)
             cell = F.struct(degree_cell(place[0], box_degrees).alias("y"), degree_cell(place[1], box_degrees).alias("x"))
         else:
-            cells = _sphere_cells(listed, head)
+            cells = _sphere_cells(listed)
             cell = _lookup_cell(*place)
         # At most nine cells per listed centre, or the fixed number of cells of the sphere.
         x, y, z = unit_vector(*place)
@@ -162,16 +161,13 @@ def _lookup_cell(lat: Column, lon: Column) -> Column:
     return (row * _CELL_COLUMNS + column).cast("int")
 
 
-def _sphere_cells(listed: DataFrame, head: list) -> DataFrame:
+def _sphere_cells(listed: DataFrame) -> DataFrame:
     """Every cell of the sphere with the centres that can be nearest to some point in it.
 
     A centre can win only if, from the middle of the cell, it is no farther than the nearest centre
     by more than twice the cell's reach.
     """
-    types = dict(listed.dtypes)
-    constants = F.array(*[F.struct(*[F.lit(row[n]).cast(t).alias(n) for n, t in types.items()]) for row in head])
-    if not head:
-        constants = F.array().cast(f"array<{listed.schema.simpleString()}>")
+    every = listed.agg(F.collect_list(F.struct("*")).alias("centres")).scalar()
     cells = listed.sparkSession.range(_CELL_ROWS * _CELL_COLUMNS).select(F.col("id").cast("int").alias("_cell"))
     lat = F.floor(F.col("_cell") / _CELL_COLUMNS) * _CELL_DEGREES - 90 + _CELL_DEGREES / 2
     lon = (F.col("_cell") % _CELL_COLUMNS) * _CELL_DEGREES - 180 + _CELL_DEGREES / 2
@@ -182,8 +178,8 @@ def _sphere_cells(listed: DataFrame, head: list) -> DataFrame:
         """Squared chord between the middle of the cell and a centre."""
         return sum(((p - c[n]) * (p - c[n]) for p, n in zip(middle, "xyz")), F.lit(0.0))
 
-    measured = cells.withColumns({"_x": x, "_y": y, "_z": z}).withColumn(
-        "_all", F.transform(constants, lambda c: F.struct(apart(c).alias("apart"), c.alias("c")))
+    measured = cells.withColumns({"_x": x, "_y": y, "_z": z, "_centres": every}).withColumn(
+        "_all", F.transform("_centres", lambda c: F.struct(apart(c).alias("apart"), c.alias("c")))
     )
     nearest = F.sqrt(F.array_min(F.transform("_all", lambda m: m["apart"])))
     angle = F.asin(F.least(nearest / 2, F.lit(1.0))) + F.lit(_CELL_REACH_KM / EARTH_RADIUS_KM)

@@ -25,9 +25,8 @@ def load_hub(
 ) -> DataFrame:
     """New business keys. ``attrs`` maps target names to staged columns; the smallest value wins in a batch."""
     source = staged.where(F.col(business_key).isNotNull())
-    described = source.groupBy(F.col(business_key).alias(name or business_key)).agg(
-        *[F.min(c).alias(n) for n, c in attrs.items()]
-    )
+    keyed = source.groupBy(F.col(business_key).alias(name or business_key))
+    described = keyed.agg(*[F.min(c).alias(n) for n, c in attrs.items()]) if attrs else source.select(F.col(business_key).alias(name or business_key)).distinct()
     rows = described.select(hash_key(F.col(name or business_key), algo=algo).alias(hub_key), "*")
     return _only_new(stamp(rows, load_src, load_dt), existing, [hub_key])
 
@@ -207,15 +206,23 @@ def _link(rows: DataFrame, name: str, left: str, right: str) -> DataFrame:
     return pairs.select(uuid5(F.lit(f"l_{name}"), F.col(left), F.col(right)).alias(f"hk_{name}_pk"), left, right)
 
 
-def _states(rows: DataFrame, name: str, parent: str, **attrs: str) -> DataFrame:
+def _states(rows: DataFrame, table: str, parent: str, /, **attrs: str) -> DataFrame:
     states = rows.select(parent, *[F.col(c).alias(n) for n, c in attrs.items()]).where(F.col(parent).isNotNull()).distinct()
-    return states.withColumn(f"hk_{name}_hashdiff", hash_diff(*[F.col(n) for n in attrs]))
+    return states.withColumn(f"hk_{table}_hashdiff", hash_diff(*[F.col(n) for n in attrs]))
 
 
-def order_vault(messages: DataFrame, load_src: str, load_dt: dt.datetime | None = None) -> dict[str, DataFrame]:
+def order_vault(
+    messages: DataFrame, load_src: str, load_dt: dt.datetime | None = None
+) -> dict[str, DataFrame]:
     """Five hubs, four links and five satellites of a batch of order messages, each row once."""
     orders = keyed_orders(messages)
-    lines = order_lines(orders)
+    return order_vault_tables(orders, order_lines(orders), load_src, load_dt)
+
+
+def order_vault_tables(
+    orders: DataFrame, lines: DataFrame, load_src: str, load_dt: dt.datetime | None = None
+) -> dict[str, DataFrame]:
+    """The vault tables of keyed orders and their lines."""
     tables = {
         "h_user": _hub(orders, "h_user_pk", "user_id"),
         "h_restaurant": _hub(orders, "h_restaurant_pk", "restaurant_id"),
@@ -237,7 +244,10 @@ def order_vault(messages: DataFrame, load_src: str, load_dt: dt.datetime | None
 
 def mart_messages(messages: DataFrame) -> DataFrame:
     """One outgoing row per ordered product: user, product and category with their names."""
-    lines = order_lines(keyed_orders(messages))
+    return line_messages(order_lines(keyed_orders(messages)))
+
+
+def line_messages(lines: DataFrame) -> DataFrame:
     return lines.select(
         F.col("h_user_pk").alias("user_id"), F.col("h_product_pk").alias("product_id"), "product_name",
         F.col("h_category_pk").alias("category_id"), "category_name", "quantity", F.col("h_order_pk").alias("order_id"),

@@ -93,7 +93,8 @@ def merge_into(
 
 def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table written by ``merge_into``."""
-    return read_or_empty(spark, path, schema)
+    stored = T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+    return read_or_empty(spark, path, stored).drop(_BUCKET)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
