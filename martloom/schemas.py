@@ -25,8 +25,20 @@ RANK = "id bigint, name string, bonus_percent decimal(19,5), min_payment_thresho
 BONUS_USER = "id bigint, order_user_id string"
 OUTBOX_EVENT = "id bigint, event_ts timestamp, event_type string, event_value string"
 
-MENU_ITEM = "struct<_id:string,name:string,price:string>"
-PRODUCT_PAYMENT = "struct<product_id:string,quantity:string,price:string,bonus_payment:string,bonus_grant:string>"
+# Documents; numbers are read as text and cast where they are used.
+ORDER_DOC = """
+final_status string, statuses array<struct<status:string,dttm:string>>,
+restaurant struct<id:struct<`$oid`:string>>, user struct<id:struct<`$oid`:string>>
+"""
+RESTAURANT_DOC = "name string, menu array<struct<_id:string,name:string,price:string>>"
+DELIVERY_DOC = """
+order_id string, order_ts string, delivery_id string, delivery_ts string, courier_id string, address string,
+sum string, tip_sum string, rate string
+"""
+BONUS_DOC = """
+order_id string,
+product_payments array<struct<product_id:string,quantity:string,price:string,bonus_payment:string,bonus_grant:string>>
+"""
 
 CAMPAIGN = """
 restaurant_id string, adv_campaign_id string, adv_campaign_content string, adv_campaign_owner string,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.documents import canonical_json, field, first_status_time, has_key
 from martloom.plans import marts, warehouse
+from martloom.session import materialise
 from martloom.sources.increments import land_payloads, trailing_window
 from martloom.workload import adapters as a
 
@@ -93,19 +94,24 @@ def product_dim_explode(spark, sf):
 
 
 def _orders(spark, sf):
-    return warehouse.dim_orders(
-        a.staged_orders(spark, sf), _deliveries(spark, sf), _timestamps(spark, sf),
-        warehouse.dim_restaurants(a.staged_restaurants(spark, sf)), warehouse.dim_users(a.staged_users(spark, sf)),
-        warehouse.dim_couriers(a.staged_couriers(spark, sf)),
+    """(orders, timestamps) built from staged order and delivery tables, which are written first as in a real load."""
+    staged = materialise(a.staged_orders(spark, sf), "staged-orders")
+    deliveries = materialise(_deliveries(spark, sf), "staged-deliveries")
+    timestamps = warehouse.dim_timestamps(staged, deliveries)
+    orders = warehouse.dim_orders(
+        staged, deliveries, timestamps, warehouse.dim_restaurants(a.staged_restaurants(spark, sf)),
+        warehouse.dim_users(a.staged_users(spark, sf)), warehouse.dim_couriers(a.staged_couriers(spark, sf)),
     )
+    return orders, timestamps
 
 
 def order_dim(spark, sf):
     """Orders of the dimension, shown with business keys in place of ids."""
-    times = _timestamps(spark, sf).select(F.col("id").alias("timestamp_id"), "ts")
+    orders, timestamps = _orders(spark, sf)
+    times = timestamps.select(F.col("id").alias("timestamp_id"), "ts")
     restaurants = warehouse.dim_restaurants(a.staged_restaurants(spark, sf)).select(F.col("id").alias("restaurant_id"), F.col("restaurant_id").alias("restaurant_key"))
     couriers = warehouse.dim_couriers(a.staged_couriers(spark, sf)).select(F.col("id").alias("courier_id"), F.col("courier_id").alias("courier_key"))
-    shown = _orders(spark, sf).join(times, "timestamp_id").join(restaurants, "restaurant_id").join(couriers, "courier_id", "left")
+    shown = orders.join(times, "timestamp_id").join(restaurants, "restaurant_id").join(couriers, "courier_id", "left")
     return shown.select("order_key", "order_status", _text("ts").alias("ts"), "restaurant_key", "courier_key")
 
 
@@ -153,10 +159,10 @@ def settlement_report(spark, sf):
 
 def settlement_from_documents(spark, sf):
     """The report over the warehouse built from documents: orders, bonus events, dimensions."""
-    orders = _orders(spark, sf)
+    orders, timestamps = _orders(spark, sf)
     products = a.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("product_id"))
     sales = warehouse.product_sales(a.bonus_events(spark, sf), products, orders)
-    lines = marts.settlement_lines(orders, warehouse.dim_restaurants(a.staged_restaurants(spark, sf)), _timestamps(spark, sf), sales)
+    lines = marts.settlement_lines(orders, warehouse.dim_restaurants(a.staged_restaurants(spark, sf)), timestamps, sales)
     report = marts.settlement_report(lines)
     return report.select(
         "restaurant_id", "restaurant_name", _text("settlement_date", "yyyy-MM-dd").alias("settlement_date"),
