@@ -34,7 +34,8 @@ def close_pairs(
     side meets a copy of the other, so the pairs of a hot cell are spread over tasks and none is lost.
     The placed members are written once, as three branches of the plan read them.
     """
-    keep = [*group, member, lat, lon, *carry]
+    own = list(dict.fromkeys((member, lat, lon, *carry)))
+    keep = [*group, *own]
     placed = materialise(
         members.select(*keep)
         .where(usable_position(F.col(lat), F.col(lon)))
@@ -64,8 +65,8 @@ def close_pairs(
         .withColumn("_split", F.explode(F.sequence(F.lit(0), splits - 1)))
         .drop("_splits")
     )
-    a = left.select(*at, "_split", *[F.col(c).alias("a_" + c) for c in (member, lat, lon, *carry)])
-    b = right.select(*at, "_split", "_own", *[F.col(c).alias("b_" + c) for c in (member, lat, lon, *carry)])
+    a = left.select(*at, "_split", *[F.col(c).alias("a_" + c) for c in own])
+    b = right.select(*at, "_split", "_own", *[F.col(c).alias("b_" + c) for c in own])
     distance = haversine_km(F.col("a_" + lat), F.col("a_" + lon), F.col("b_" + lat), F.col("b_" + lon))
     once = (F.col("a_" + member) != F.col("b_" + member)) & (~F.col("_own") | (F.col("a_" + member) < F.col("b_" + member)))
     met = a.join(b, [*at, "_split"]).where(once & (distance <= km))
