@@ -55,10 +55,12 @@ def hash_key(*cols: Column, algo: str = "xxhash64") -> Column:
     """
     if algo == "uuid5":
         return uuid5(*cols)
+    # Over the text of the parts, so that an int and a bigint of one value give one key.
+    parts = [c.cast("string") for c in cols]
     if algo == "xxhash64":
-        key = F.xxhash64(*cols)
+        key = F.xxhash64(*parts)
     elif algo == "sha256":
-        key = F.sha2(F.concat_ws(NAME_SEPARATOR, *[c.cast("string") for c in cols]), 256)
+        key = F.sha2(F.concat_ws(NAME_SEPARATOR, *parts), 256)
     else:
         raise ValueError(f"unknown key algorithm: {algo}")
     return F.when(~_any_null(cols), key)

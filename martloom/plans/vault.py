@@ -124,27 +124,28 @@ def social_vault(
         "s_group_private_status": satellite(groups, group, "id", {"is_private": "is_private"}),
         "s_group_name": satellite(groups, group, "id", {"group_name": "group_name"}),
         "s_dialog_info": satellite(dialogs, message, "message_id", {"message": "message", "message_from": "message_from", "message_to": "message_to"}),
-        "s_auth_history": auth_history(group_log, h_users, h_groups, activity, log_src, load_dt),
+        "s_auth_history": auth_history(group_log, activity, log_src, load_dt, algo),
     }
 
 
 def auth_history(
-    group_log: DataFrame, h_users: DataFrame, h_groups: DataFrame, activity: DataFrame, load_src: str = "group_log",
-    load_dt: dt.datetime | None = None,
+    group_log: DataFrame, activity: DataFrame, load_src: str = "group_log", load_dt: dt.datetime | None = None,
+    algo: str = "xxhash64",
 ) -> DataFrame:
-    """Every membership event of a known (user, group) relation; the inviter is kept on joining only."""
-    rows = (
-        group_log.join(h_users.select("hk_user_id", "user_id"), "user_id")
-        .join(h_groups.select("hk_group_id", "group_id"), "group_id")
-        .join(activity.select("hk_l_user_group_activity", "hk_user_id", "hk_group_id"), ["hk_user_id", "hk_group_id"])
-    )
-    kept = rows.select(
-        "hk_l_user_group_activity",
+    """Every membership event of a known (user, group) relation; the inviter is kept on joining only.
+
+    The relation's key is computed from the log itself. One semi join with the link, which holds
+    only users and groups of the hubs, replaces the lookups in hubs and link.
+    """
+    user, group = hash_key(F.col("user_id"), algo=algo), hash_key(F.col("group_id"), algo=algo)
+    events = group_log.select(
+        hash_key(user, group, algo=algo).alias("hk_l_user_group_activity"),
         inviter_on_add(F.col("event"), F.col("user_id_from")).alias("user_id_from"),
         "event",
         F.col("datetime").alias("event_dt"),
     )
-    return stamp(kept, load_src, load_dt)
+    known = activity.select("hk_l_user_group_activity")
+    return stamp(events.join(known, "hk_l_user_group_activity", "left_semi"), load_src, load_dt)
 
 
 # Table -> its key columns. A satellite is unique by parent and fingerprint.

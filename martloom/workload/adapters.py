@@ -152,26 +152,27 @@ def couriers(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("courier_name"))
 
 
-def settlement_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales of fulfilled orders, the customer as restaurant."""
+def sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as sales of an order."""
     price = F.col("l_extendedprice")
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", _money(price).alias("total_sum"),
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), _money(price).alias("total_sum"),
         _money(price * F.col("l_discount")).alias("bonus_payment"), _money(price * F.col("l_tax")).alias("bonus_grant"),
     )
-    orders = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderdate")
-    names = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(names, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("c_custkey").cast("string").alias("restaurant_id"), F.col("c_name").alias("restaurant_name"),
-            F.to_date("o_orderdate").alias("settlement_date"), F.col("l_orderkey").alias("order_id"),
-            "total_sum", "bonus_payment", "bonus_grant",
-        )
+
+
+def fulfilled_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Fulfilled orders as closed ones, the customer as restaurant."""
+    return table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("restaurant"), F.to_date("o_orderdate").alias("settlement_date")
     )
 
 
+def restaurants(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return table(spark, sf, "customer").select(key.alias("id"), key.cast("string").alias("restaurant_id"), F.col("c_name").alias("restaurant_name"))
+
+
 # --- staged documents -------------------------------------------------------------------------------
 
 

@@ -50,10 +50,10 @@ def landed_deliveries(spark, sf):
 
 
 def recent_deliveries(spark, sf):
-    """Deliveries of the week before a given day whose restaurant is known."""
+    """Deliveries of the four weeks before a given day whose restaurant is known."""
     rows = a.table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("restaurant_id"), F.col("o_orderdate").alias("ts"))
-    known = a.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("restaurant_id"))
-    return trailing_window(rows, "ts", 7, known, "restaurant_id", dt.datetime(1997, 2, 10)).select("order_id", "restaurant_id")
+    known = a.table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("restaurant_id"))
+    return trailing_window(rows, "ts", 28, known, "restaurant_id", dt.datetime(1997, 2, 10)).select("order_id", "restaurant_id")
 
 
 def user_dim(spark, sf):
@@ -150,7 +150,7 @@ def courier_ledger(spark, sf):
 
 
 def settlement_report(spark, sf):
-    report = marts.settlement_report(a.settlement_lines(spark, sf))
+    report = marts.settlement_report(a.sales(spark, sf), a.fulfilled_orders(spark, sf), a.restaurants(spark, sf))
     return report.select(
         "restaurant_id", "restaurant_name", _text("settlement_date", "yyyy-MM-dd").alias("settlement_date"),
         "orders_count", *[F.col(c).cast("double").alias(c) for c in report.columns[4:]],
@@ -162,8 +162,8 @@ def settlement_from_documents(spark, sf):
     orders, timestamps = _orders(spark, sf)
     products = a.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("product_id"))
     sales = warehouse.product_sales(a.bonus_events(spark, sf), products, orders)
-    lines = marts.settlement_lines(orders, warehouse.dim_restaurants(a.staged_restaurants(spark, sf)), timestamps, sales)
-    report = marts.settlement_report(lines)
+    closed = marts.closed_order_days(orders, timestamps)
+    report = marts.settlement_report(sales, closed, warehouse.dim_restaurants(a.staged_restaurants(spark, sf)))
     return report.select(
         "restaurant_id", "restaurant_name", _text("settlement_date", "yyyy-MM-dd").alias("settlement_date"),
         "orders_count", *[F.col(c).cast("double").alias(c) for c in report.columns[4:]],
@@ -218,7 +218,7 @@ ORACLE = {
       SELECT CAST(restaurant_id AS VARCHAR) AS restaurant_id, CAST(order_id AS VARCHAR) AS object_id,
              CAST(courier_id AS VARCHAR) AS courier_id, 'Street ' || (order_id % 100) AS address FROM deliveries""",
     "recent_deliveries": """SELECT o_orderkey AS order_id, o_custkey AS restaurant_id FROM orders JOIN customer ON o_custkey = c_custkey
-      WHERE c_mktsegment = 'BUILDING' AND o_orderdate BETWEEN TIMESTAMP '1997-02-03' AND TIMESTAMP '1997-02-10'""",
+      WHERE c_mktsegment <> 'BUILDING' AND o_orderdate BETWEEN TIMESTAMP '1997-01-13' AND TIMESTAMP '1997-02-10'""",
     "user_dim": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, 'User ' || user_id AS user_name, 'u' || user_id AS user_login FROM events""",
     "restaurant_dim": """SELECT CAST(c_custkey AS VARCHAR) AS restaurant_id, c_name AS restaurant_name,
       '2024-01-01 00:00:00' AS active_from, '2099-12-31 00:00:00' AS active_to FROM customer""",
