@@ -147,8 +147,7 @@ def _table_sizes(spark, base):
 
 
 def _counted(spark, sf, counter):
-    rows = vault.mart_messages(a.order_messages(spark, sf))
-    return counters.count_orders(rows, counter)
+    return counters.count_order_messages(a.order_messages(spark, sf), counter)
 
 
 def user_product_counters(spark, sf):
