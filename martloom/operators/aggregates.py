@@ -48,8 +48,3 @@ def max_by_group(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
-
-
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness test that stops at the first row instead of counting all."""
-    return df.isEmpty()

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.temporal import parse_time
+from martloom.operators.columns import valid_messages, valid_subscriptions
 from martloom.operators.quality import require_columns
 
 MESSAGE_TIME_FIRST = ("message_ts", "datetime")
@@ -45,14 +44,8 @@ def flatten_log(events: DataFrame, time_order: tuple[str, ...] = MESSAGE_TIME_FI
 
 def messages(log: DataFrame) -> DataFrame:
     """Messages that can be placed: sender, time and position present."""
-    lat, lon = F.col("lat"), F.col("lon")
-    tests = [
-        F.col("kind") == "message", F.col("user_id").isNotNull(), F.col("event_time").isNotNull(),
-        lat.isNotNull(), lon.isNotNull(), ~F.isnan(lat), ~F.isnan(lon),
-    ]
-    return log.where(reduce(lambda a, b: a & b, tests))
+    return valid_messages(log, "kind", "lat", "lon", ["user_id", "event_time"])
 
 
 def subscriptions(log: DataFrame) -> DataFrame:
-    rows = log.where((F.col("kind") == "subscription") & F.col("channel_id").isNotNull() & F.col("user_id").isNotNull())
-    return rows.select("channel_id", "user_id")
+    return valid_subscriptions(log, "kind", "channel_id", "user_id")

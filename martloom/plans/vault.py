@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import hash_diff, hash_key, uuid5
-from martloom.operators.columns import inviter_on_add, stamp
+from martloom.operators.columns import inviter_on_add, messages_with_payload, stamp
 from martloom.operators.merge import new_rows
 from martloom.operators.windows import latest_per_key
 
@@ -173,7 +173,7 @@ def _hub_pk(entity: str, column: Column) -> Column:
 
 def keyed_orders(messages: DataFrame) -> DataFrame:
     """Order messages that carry a payload, flattened, with their hub keys."""
-    p = messages.where(F.col("payload").isNotNull()).select("payload.*")
+    p = messages_with_payload(messages).select("payload.*")
     flat = p.select(
         F.col("id").alias("order_id"), F.col("date").alias("order_dt"), "cost", "payment", "status",
         F.col("user.id").alias("user_id"), F.col("user.name").alias("username"),

@@ -13,6 +13,7 @@ from martloom.functions.temporal import parse_time
 from martloom.functions.text import clean_text, null_tokens
 from martloom.operators import aggregates, columns, lookups, merge, quality, sets, windows
 from martloom.operators.surrogate import surrogate_key
+from martloom.schemas import BONUS_DOC
 from martloom.session import work_dir
 from martloom.sources import sinks
 from martloom.sources.increments import WatermarkStore, incremental_load, read_increment
@@ -233,9 +234,59 @@ def previous_month_orders(spark, sf):
     return columns.in_previous_month(orders, "y", "m", dt.date(1997, 1, 15)).select("o_orderkey")
 
 
+def flat_messages(spark, sf):
+    """Messages of the nested log, flattened, timed and checked."""
+    flat = columns.flatten(
+        a.geo_log(spark, sf),
+        {"event_id": "event_id", "event_type": "kind", "event.message_from": "sender", "event.message_to": "recipient",
+         "event.message_ts": "message_ts", "event.datetime": "datetime", "lat": "lat", "lon": "lon"},
+    )
+    timed = columns.with_event_time(flat, ["message_ts", "datetime"])
+    valid = columns.valid_messages(timed, "kind", "lat", "lon", ["sender", "event_time"])
+    return valid.select("event_id", "sender", "recipient", F.date_format("date", "yyyy-MM-dd").alias("day"))
+
+
+def channel_subscriptions(spark, sf):
+    """(channel, user) of subscription events, each once."""
+    flat = columns.flatten(a.geo_log(spark, sf), {"event_type": "kind", "event.subscription_channel": "channel", "event.subscription_user": "subscriber"})
+    return sets.dedup(columns.valid_subscriptions(flat, "kind", "channel", "subscriber"), ["channel_id", "user_id"])
+
+
+def pair_balances(spark, sf):
+    """Balances of the two customers an order is put between."""
+    pairs = a.table(spark, sf, "orders").select(F.col("o_custkey").alias("buyer"), ((F.col("o_custkey") * 7 + F.col("o_orderkey")) % 50).alias("seller"), "o_orderkey")
+    return lookups.attach_both(pairs, _customers(spark, sf).select("c_custkey", "c_acctbal"), "c_custkey", "buyer", "seller")
+
+
+def order_segments(spark, sf):
+    """Orders with the segment of their customer where it is BUILDING, null elsewhere; and the customer's name."""
+    building = _customers(spark, sf).where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    names = _customers(spark, sf).select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    orders = a.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return lookups.inner_lookup(lookups.left_lookup(orders, building, "o_custkey"), names, "o_custkey")
+
+
+def exploded_payments(spark, sf):
+    """Payments of every bonus event, kept where the part is known."""
+    parsed = a.bonus_events(spark, sf).select(F.from_json("event_value", BONUS_DOC).alias("d")).select("d.order_id", "d.product_payments")
+    parts = a.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("part_id"), "p_brand")
+    joined = lookups.explode_join(parsed, "product_payments", "item", parts, {"item.product_id": "part_id"})
+    return joined.select("order_id", "part_id", "p_brand", F.col("item.quantity").alias("quantity"))
+
+
+def largest_values(spark, sf):
+    events = a.table(spark, sf, "events").select("user_id", "event_type", "value")
+    return aggregates.max_by_group(events, ["user_id", "event_type"], "value")
+
+
+def distinct_statuses(spark, sf):
+    return aggregates.distinct_rows(a.table(spark, sf, "orders"), ["o_custkey", "o_orderstatus"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        flat_messages, channel_subscriptions, pair_balances, order_segments, exploded_payments, largest_values, distinct_statuses,
         upsert_overwrite, upsert_if_changed, insert_new, additive_counters, increment_page, merge_into_files,
         incremental_runs, partition_rewrite, constraint_audit, orphan_audit, surrogate_ids, hash_keys, null_safe_absent,
         latest_per_key, best_per_key, oldest_n, lowest_n, union_distinct, symmetric_pairs, pad_and_union,
@@ -248,6 +299,19 @@ _BATCH = """WITH base AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM
 fresh AS (SELECT c_custkey + 1000000000 AS c_custkey, c_name, c_acctbal, c_mktsegment FROM base)"""
 
 ORACLE = {
+    "flat_messages": f"""WITH {a.GEO_SQL.strip()} SELECT event_id, user_id AS sender, message_to AS recipient,
+      strftime(event_time, '%Y-%m-%d') AS day FROM geo WHERE kind = 'message' AND lat IS NOT NULL""",
+    "channel_subscriptions": f"""WITH {a.GEO_SQL.strip()} SELECT DISTINCT channel_id, user_id FROM geo WHERE kind = 'subscription'""",
+    "pair_balances": """WITH p AS (SELECT o_custkey AS buyer, (o_custkey * 7 + o_orderkey) % 50 AS seller, o_orderkey FROM orders)
+      SELECT buyer, seller, o_orderkey, b.c_acctbal AS c_acctbal_left, s.c_acctbal AS c_acctbal_right
+      FROM p JOIN customer b ON b.c_custkey = buyer JOIN customer s ON s.c_custkey = seller""",
+    "order_segments": """SELECT o_orderkey, o_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_mktsegment END AS c_mktsegment
+      FROM orders JOIN customer ON c_custkey = o_custkey""",
+    "exploded_payments": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS part_id, any_value(p_brand) AS p_brand,
+      CAST(CAST(sum(l_quantity) AS BIGINT) AS VARCHAR) AS quantity
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, l_partkey HAVING min(l_returnflag) <> 'R'""",
+    "largest_values": "SELECT user_id, event_type, max(value) AS value FROM events GROUP BY ALL",
+    "distinct_statuses": "SELECT DISTINCT o_custkey, o_orderstatus FROM orders",
     "upsert_overwrite": f"""{_BATCH}
       SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment FROM base
       UNION ALL SELECT c_custkey, c_name, c_acctbal, 'BATCH' FROM fresh""",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import hash_diff
 from martloom.plans import counters, social, vault
 from martloom.session import work_dir
-from martloom.sources import sinks
 from martloom.workload import adapters as a
 
 _LOADED = dt.datetime(2024, 2, 1)
