@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Recording the Python line of every expression costs two calls into the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
