@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.columns import between_dates
+from martloom.session import materialise
 
 _BUCKET = "key_bucket"
 
@@ -80,15 +81,17 @@ def merge_into(
 
     ``merge(target, source)`` is one of the plans of ``operators.merge``. The table is partitioned by
     a bucket of the key; the touched bucket numbers, at most ``buckets``, prune the read, and a
-    dynamic partition overwrite swaps in the rewritten buckets when the job commits.
+    dynamic partition overwrite swaps in the rewritten buckets when the job commits. The batch is
+    written first, as it is read twice and may be costly to compute.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     stored = T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
-    touched = [r[0] for r in source.select(bucket.alias("b")).distinct().collect()]
+    batch = materialise(source, "batch")
+    touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]
     if not touched:
         return
     target = read_or_empty(spark, path, stored).where(F.col(_BUCKET).isin(touched)).drop(_BUCKET)
-    write_partitioned(merge(target, source).withColumn(_BUCKET, bucket), path, [_BUCKET])
+    write_partitioned(merge(target, batch).withColumn(_BUCKET, bucket), path, [_BUCKET])
 
 
 def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
