@@ -26,15 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import components, map_texts, on_workers, slices
-from martloom.llm.grams import Words, follow, mix, pack, shard_ends, text_bytes, tokens, unpack
+from martloom.llm.grams import Words, follow, mix, pack, planes, shard_ends, text_bytes, tokens, unpack, unplanes
 from martloom.session import materialise
 
 #: Words in a shingle, and the least similarity in hundredths.
 WORDS, PERCENT = 5, 80
 #: Bytes of text whose shingles a shard counts.
 SHARD = 24 << 20
-#: Rounds of leaders at most, and pairs for each list entry below which the rest is joined at once.
-ROUNDS, FEW = 8, 4
+#: Shingles of a prefix that families first meet by, rounds of leaders at most, and pairs for each list entry below
+#: which the rest is joined at once.
+SEEDS, ROUNDS, FEW = 2, 8, 4
+#: Pairs below which the sets in them are picked out before they are joined; the result is the same either way.
+NARROW = 10_000
 
 
 def shingle_sets(texts: list[str | None], width: int = WORDS) -> list[np.ndarray]:
@@ -98,16 +101,23 @@ def _send(batches, shards: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Shingles of a shard that occur in two or more sets, gathered by set with the number of sets of each."""
-    keys, sets, sizes = [], [], []
-    for k, m, s, n in zip(*(table.column(c).to_pylist() for c in ("keys", "member", "sets", "sizes"))):
-        own, ids = unpack(k), np.frombuffer(s, np.int64)
-        local = np.frombuffer(m, np.uint16 if len(ids) < 65536 else np.uint32)
-        keys.append(own)
+def _gather(table: pa.Table, with_df: bool = False):
+    """Entries of packed rows: keys, the set of each, the set's size, and the number of sets of the key."""
+    keys, sets, sizes, numbers = [], [], [], []
+    for row in table.select(["keys", "member", "sets", "sizes", *["df"] * with_df]).to_pylist():
+        ids = np.frombuffer(row["sets"], np.int64)
+        local = np.frombuffer(row["member"], np.uint16 if len(ids) < 65536 else np.uint32)
+        keys.append(unpack(row["keys"]))
         sets.append(ids[local])
-        sizes.append(np.frombuffer(n, np.int32)[local])
-    keys, sets, sizes = np.concatenate(keys), np.concatenate(sets), np.concatenate(sizes)
+        sizes.append(np.frombuffer(row["sizes"], np.int32)[local])
+        if with_df:
+            numbers.append(unplanes(row["df"], np.uint32))
+    return [np.concatenate(x) for x in (keys, sets, sizes, *[numbers] * with_df)]
+
+
+def _shared(table: pa.Table, parts: int) -> pa.Table:
+    """Shingles of a shard that occur in two or more sets, with their number of sets, for each range of set ids."""
+    keys, sets, sizes = _gather(table)
     order = np.argsort(keys, kind="stable")
     keys, sets, sizes = keys[order], sets[order], sizes[order]
     same = keys[1:] == keys[:-1]
@@ -121,14 +131,38 @@ def _shared(table: pa.Table) -> pa.Table:
     fresh[1:] = (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])
     keys, sets, sizes = keys[fresh], sets[fresh], sizes[fresh]
     _, at, number = np.unique(keys, return_inverse=True, return_counts=True)
-    number = number[at]
-    keep = number > 1
-    keys, sets, sizes, number = keys[keep], sets[keep], sizes[keep], number[keep]
-    order = np.argsort(sets, kind="stable")
-    ids, first = np.unique(sets[order], return_index=True)
-    offsets = pa.array(np.append(first, len(order)), pa.int32())
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order], t)) for x, t in ((keys.view(np.int64), pa.int64()), (number, pa.int32()))]
-    return pa.table([pa.array(ids), pa.array(sizes[order][first] if len(first) else np.zeros(0, np.int32)), *lists], ["set", "n", "keys", "df"])
+    number = number[at].astype(np.uint32)
+    order = np.argsort(sets, kind="stable")  # keys stay in order within a range of sets after the next sort
+    part = np.empty(len(sets), np.int64)
+    start = 0
+    for i, end in enumerate(shard_ends((sets[order].view(np.uint64) ^ np.uint64(1 << 63)), parts)):
+        part[order[start:end]] = i
+        start = end
+    rows = []
+    for i in np.unique(part[number > 1]).tolist():
+        own = (part == i) & (number > 1)
+        used, first, local = np.unique(sets[own], return_index=True, return_inverse=True)
+        small = local.astype(np.uint16 if len(used) < 65536 else np.uint32)
+        rows.append((i, pack(keys[own]), small.tobytes(), used.tobytes(), sizes[own][first].tobytes(), planes(number[own])))
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["part", "keys", "member", "sets", "sizes", "df"])
+
+
+def _rank(table: pa.Table) -> pa.Table:
+    """Sets of a range whose prefix reaches a shared shingle, their shared shingles from rare to frequent."""
+    keys, sets, sizes, number = _gather(table, with_df=True)
+    order = np.lexsort((keys, number, sets))
+    keys = keys[order].view(np.int64)
+    ids, first, at, shared = np.unique(sets[order], return_index=True, return_inverse=True, return_counts=True)
+    n = sizes[order][first].astype(np.int64)
+    # n - shared shingles are the set's own and stand first; the prefix has n - ceil(PERCENT n / 100) + 1.
+    prefix = shared + (n * PERCENT + 99) // 100 * -1 + 1
+    kept = prefix > 0
+    offsets = np.concatenate([[0], np.cumsum(shared[kept])])
+    ranked = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[kept[at]]))
+    columns = [pa.array(ids[kept]), pa.array(n[kept].astype(np.int32)), pa.array((n - shared)[kept].astype(np.int32)), ranked, pa.array(prefix[kept].astype(np.int32))]
+    return pa.table(columns, ["set", "n", "alone", "ranked", "prefix"])
 
 
 def _ranked_sets(docs: DataFrame, text: str) -> DataFrame:
@@ -139,67 +173,102 @@ def _ranked_sets(docs: DataFrame, text: str) -> DataFrame:
     def send(batches):
         return _send(batches, shards)
 
-    sent = docs.select(F.col(text).alias("text")).mapInArrow(send, "shard int, keys binary, member binary, sets binary, sizes binary")
-    shared = sent.groupBy("shard").applyInArrow(_shared, "set long, n int, keys array<long>, df array<int>")
-    needed = F.floor((F.col("n") * PERCENT + 99) / 100)
-    gathered = shared.select("set", "n", F.arrays_zip("df", "keys").alias("part")).groupBy("set").agg(
-        F.first("n").alias("n"), F.flatten(F.collect_list("part")).alias("parts"))
-    # n - size(parts) shingles are the set's own; the prefix has n - needed + 1.
-    prefix = (F.size("parts") - needed + 1).cast("int")
-    ranked = gathered.withColumn("prefix", prefix).where("prefix > 0").select(
-        "set", "n", (F.col("n") - F.size("parts")).alias("alone"), F.array_sort("parts")["keys"].alias("ranked"), "prefix")
+    def shared(table: pa.Table) -> pa.Table:
+        return _shared(table, shards)
+
+    packed = "keys binary, member binary, sets binary, sizes binary"
+    sent = docs.select(F.col(text).alias("text")).mapInArrow(send, f"shard int, {packed}")
+    returned = sent.groupBy("shard").applyInArrow(shared, f"part int, {packed}, df binary")
+    ranked = returned.groupBy("part").applyInArrow(_rank, "set long, n int, alone int, ranked array<long>, prefix int")
     return materialise(ranked, "jaccard-sets")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets pass the threshold, by the exact size of their intersection."""
+    """The groups of the pairs (a, b) whose sets pass the threshold, by the exact size of their intersection."""
+    met = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    if pairs.count() < NARROW:  # few sets are met: only they are dealt out
+        sets = materialise(sets.join(materialise(met, "jaccard-met"), "set", "left_semi"), "jaccard-met-sets")
     left = sets.select(F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("ranked").alias("keys_b"))
     right = sets.select(F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("ranked").alias("keys_a"))
-    both = pairs.select("a", "b").distinct().join(left, "b").join(right, "a")
+    both = pairs.join(left, "b").join(right, "a")
     common = F.size(F.array_intersect("keys_a", "keys_b"))
-    return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("group_a", "group_b")
+
+
+def _relabel(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """Labels after groups were merged: ``merged`` maps groups, which go by the id of one of their sets."""
+    onward = merged.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+    moved = labels.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component"))
+    return moved.unionByName(merged.join(labels, "node", "left_anti"))
 
 
 def _sizes_fit(a: str, b: str):
     return 100 * F.least(F.col(a), F.col(b)) >= PERCENT * F.greatest(F.col(a), F.col(b))
 
 
+def _with_groups(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of sets with the group each is in by now: its own id where it has no link."""
+    known = labels.select(F.col("node").alias("set"), F.col("component").alias("known"))
+    return sets.drop("group").join(known, "set", "left").withColumn("group", F.coalesce("known", "set")).drop("known")
+
+
+def _open_lists(entries: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
+    """Lists that hold two groups or more, with a leader each; entries in them; pairs of different groups in them.
+
+    The leader is of the largest group, whose answers are then derived for the rest of the list; in it, the least set
+    by a hash of the turn, so lists of the same sets have the same leader.
+    """
+    lead = F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "n")).alias("lead")
+    cells = entries.groupBy("key", "group").agg(F.count("*").alias("c"), lead)
+    lists = cells.groupBy("key").agg(
+        F.count("*").alias("groups"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"),
+        F.min(F.struct((-F.col("c")).alias("less"), "lead", "group")).alias("lead"))
+    lists = materialise(lists.where("groups > 1").select("key", "c", "cc", F.col("lead.lead.set").alias("a"), F.col("lead.lead.n").alias("n_a"), F.col("lead.group").alias("group_a")), "jaccard-open")
+    pairs = F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2)
+    return lists, *lists.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(pairs, F.lit(0))).first()
+
+
+def _merge(met: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels after the pairs that met and pass the threshold merged their groups."""
+    pairs = met.where((F.col("group_a") != F.col("group_b")) & _sizes_fit("n_a", "n_b")).select("a", "b", "group_a", "group_b")
+    found = _similar(materialise(pairs.distinct(), "jaccard-pairs"), sets)
+    merged = components(found.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
+    return materialise(_relabel(labels, materialise(merged, "jaccard-merged")), "jaccard-groups")
+
+
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, component) of the sets that have a link; enough pairs are compared that no link between groups is missed."""
     spark = docs.sparkSession
     sets = _ranked_sets(docs, text)
-    entries = materialise(sets.select("set", "n", F.posexplode(F.slice("ranked", 1, F.col("prefix"))).alias("i", "key"), "alone").select(
-        "key", "set", "n", (F.col("alone") + F.col("i")).alias("position")), "jaccard-lists")
-    found = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
-    before = None
-    for turn in range(ROUNDS + 1):
-        grouped = entries.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("group", F.coalesce("component", "set")).drop("component")
-        # A list is open while it holds two groups or more; pairs of different groups in it are still unknown.
-        cells = grouped.groupBy("key", "group").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "n")).alias("lead"))
-        lists = cells.groupBy("key").agg(F.count("*").alias("groups"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"),
-                                         F.min(F.struct("lead", "group")).alias("lead"))
-        lists = materialise(lists.where("groups > 1").select("key", "c", "cc", F.col("lead.lead.set").alias("leader"), F.col("lead.lead.n").alias("leader_n"), F.col("lead.group").alias("leader_group")), "jaccard-open")
-        open_, left = lists.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2), F.lit(0))).first()
-        if not open_:
+    before, size = None, F.least("prefix", F.lit(SEEDS))
+    # First only the most frequent shingles of each prefix: families of near copies meet there, at SEEDS entries a set.
+    seeds = sets.select("set", "n", F.explode(F.slice("ranked", F.col("prefix") - size + 1, size)).alias("key"))
+    for turn in range(ROUNDS):
+        lists, entries, left = _open_lists(_with_groups(seeds, labels), turn)
+        if not entries or (before is not None and left > 0.7 * before):
             break
-        if left <= FEW * open_ or turn == ROUNDS or (before is not None and left > 0.7 * before):
-            last = True
-            a = grouped.join(lists.select("key"), "key", "left_semi")
-            b = a.select("key", *[F.col(c).alias(f"{c}_b") for c in ("set", "n", "position", "group")])
-            rest = F.least(F.col("n") - F.col("position"), F.col("n_b") - F.col("position_b"))
-            pairs = a.join(b, "key").where((F.col("set") < F.col("set_b")) & (F.col("group") != F.col("group_b")) & _sizes_fit("n", "n_b")
-                                           & ((100 + PERCENT) * rest >= PERCENT * (F.col("n") + F.col("n_b"))))
-            pairs = pairs.select(F.col("set").alias("a"), F.col("set_b").alias("b"))
-        else:
-            last = False
-            pairs = grouped.join(lists.select("key", "leader", "leader_n", "leader_group"), "key").where((F.col("group") != F.col("leader_group")) & _sizes_fit("n", "leader_n"))
-            pairs = pairs.select(F.col("leader").alias("a"), F.col("set").alias("b"))
-        found = materialise(found.unionByName(_similar(pairs, sets)), "jaccard-links")
-        labels = materialise(components(found), "jaccard-groups")
-        before = left
-        if last:
+        one = _with_groups(seeds, labels).select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
+        labels, before = _merge(lists.select("key", "a", "n_a", "group_a").join(one, "key"), sets, labels), left
+    # Then the whole prefixes, in lists that are still open.
+    full = _with_groups(sets, labels).select("set", "n", "alone", "group", F.posexplode(F.slice("ranked", 1, F.col("prefix"))).alias("i", "key"))
+    waiting = full.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
+    full = materialise(full.join(materialise(waiting, "jaccard-waiting"), "key", "left_semi"), "jaccard-lists")
+    full, before = full.select("key", "set", "n", (F.col("alone") + F.col("i")).alias("place")), None
+    for turn in range(ROUNDS + 1):
+        grouped = _with_groups(full, labels)
+        lists, entries, left = _open_lists(grouped, turn)
+        if not entries:
             break
+        full = materialise(full.join(lists.select("key"), "key", "left_semi"), "jaccard-lists")
+        grouped = _with_groups(full, labels)
+        one = grouped.select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("group").alias("group_b"))
+        if left <= FEW * entries or turn == ROUNDS or (before is not None and left > 0.7 * before):
+            rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+            both = grouped.select("key", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("group").alias("group_a"))
+            both = both.join(one, "key").where((F.col("a") < F.col("b")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("n_a") + F.col("n_b"))))
+            return _merge(both, sets, labels)
+        labels, before = _merge(lists.select("key", "a", "n_a", "group_a").join(one, "key"), sets, labels), left
     return labels
 
 
