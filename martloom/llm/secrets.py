@@ -25,7 +25,7 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Shortest run that the models judge, and the ratio per character from which it is a secret.
-SHORTEST, THRESHOLD = 16, 0.35
+SHORTEST, THRESHOLD = 16, 0.1
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _CODE = np.zeros(128, np.uint8)
@@ -35,8 +35,8 @@ for _i, _c in enumerate(_LETTERS):
 STATES = len(_LETTERS) + 1
 
 # Seeds: labelled samples that are there before any corpus is read, so an empty corpus has models too.
-_RANDOM = [hashlib.sha256(b"seed %d" % i).hexdigest() for i in range(40)] + [
-    "".join(_LETTERS[b % 64] for b in hashlib.sha512(b"seed %d" % i).digest()) for i in range(40)]
+_RANDOM = [hashlib.sha256(b"seed %d" % i).hexdigest() for i in range(100)] + [
+    "".join(_LETTERS[b % 64] for b in hashlib.sha512(b"seed %d" % i).digest()) for i in range(1000)]
 _ORDINARY = (
     "internationalization configuration_manager get_user_by_identifier application-settings DocumentBuilderFactory "
     "com/example/project/service/UserController representation responsibilities straightforwardness src/main/resources "
