@@ -36,10 +36,9 @@ def sum_avg(
 
 
 def first_seen(df: DataFrame, key: str, ts: str, lat: str, lon: str) -> DataFrame:
-    """Earliest time per key and the position held at that time."""
-    return df.groupBy(key).agg(
-        F.min(ts).alias(ts), F.min_by(lat, ts).alias(lat), F.min_by(lon, ts).alias(lon)
-    )
+    """Earliest time per key and the position held at that time; the lower position among equal times."""
+    at = F.when(F.col(ts).isNotNull(), F.struct(ts, lat, lon))
+    return df.groupBy(key).agg(F.min(at).alias("at")).select(key, *[F.col("at")[c].alias(c) for c in (ts, lat, lon)])
 
 
 def max_by_group(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -38,11 +38,15 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
     On a cluster it lies under the shared folder named in ``spark.checkpoint.dir``, so that
     every executor sees it and a lost executor loses nothing. Only where that setting is
-    absent (local tests) is a local temporary folder used.
+    absent and the master is local (tests) is a local temporary folder used; a cluster
+    without the setting is refused, as its executors would each write to a disk of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/martloom/{label}-{uuid.uuid4().hex}"
+    master = spark.conf.get("spark.master", "local")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
     return tempfile.mkdtemp(prefix=f"martloom-{label}-")
 
 

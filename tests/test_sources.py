@@ -144,3 +144,55 @@ def test_messages_drop_columns_before_json(spark):
     df = spark.createDataFrame([(1, "a", "f")], "id int, v string, feedback string")
     assert [r.value for r in connectors.to_messages(df, ["feedback", "id"]).collect()] == ['{"v":"a"}']
     assert connectors.to_messages(df, key="id").first().key == "1"
+
+
+def test_merge_into_casts_keys_and_keeps_its_buckets(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), spark.range(1).selectExpr("id", "id AS v").schema
+
+    def merge(rows, buckets=8):
+        sinks.merge_into(spark, path, rows, ["id"], lambda t, s: merge_overwrite(t, s, ["id"]), schema, buckets=buckets)
+
+    merge(spark.range(1000).selectExpr("id", "id AS v"))
+    merge(spark.createDataFrame([(5, 77)], "id int, v int"))
+    table = {r.id: r.v for r in sinks.read_merged(spark, path, schema).collect()}
+    assert len(table) == 1000 and table[5] == 77
+    with pytest.raises(ValueError):
+        merge(spark.createDataFrame([(5, 78)], "id long, v long"), buckets=16)
+    with pytest.raises(ValueError):
+        merge(spark.createDataFrame([(None, 1)], "id long, v long"))
+    assert sinks.read_merged(spark, path, schema).count() == 1000
+
+
+def test_pages_lose_no_ties_and_get_further(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (2, 4), (3, 5)], "k int, v int")
+    assert sorted(r.v for r in increments.read_increment(rows, "k", 0, 2).collect()) == [1, 2, 3, 4]
+    times = [dt.datetime(2022, 1, 1)] * 25 + [dt.datetime(2022, 1, 2)] * 3
+    spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, update_ts timestamp").write.json(str(tmp_path / "docs"))
+    last, seen = dt.datetime(2021, 1, 1), set()
+    for _ in range(2):
+        page = increments.read_documents_increment(spark, str(tmp_path / "docs"), "id int, update_ts timestamp", "update_ts", last, 10).collect()
+        seen |= {r.id for r in page}
+        last = max(r.update_ts for r in page)
+    assert len(seen) == 28
+
+
+def test_watermarks_keep_other_settings_and_time_keys_are_closed(spark, tmp_path):
+    store = increments.WatermarkStore(spark, str(tmp_path / "state"))
+    store.save("w", {"a": "1"})
+    store.save("w", {"b": "2"})
+    assert (store.get("w", "a", ""), store.get("w", "b", "")) == ("1", "2")
+    got = []
+    for n in (1, 2):
+        rows = spark.createDataFrame([(i, dt.datetime(2022, 1, 1)) for i in range(n)], "id int, ts timestamp")
+        increments.incremental_load(store, "t", lambda rows=rows: rows, "ts", lambda b: got.append(b.count()), default="2000-01-01", key_type="timestamp")
+    assert got == [1, 2]
+
+
+def test_a_cluster_needs_the_shared_folder():
+    from types import SimpleNamespace
+
+    from martloom.session import work_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default)))
+    with pytest.raises(RuntimeError):
+        work_dir(far, "x")
