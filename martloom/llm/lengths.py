@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm import bpe
+from martloom.session import materialise
 
 #: Lengths in one range of the two-level suffix sums.
-RANGE = 1024
+RANGE = 128
 
 
 def histogram(counts: DataFrame, length: str = "n_tokens") -> DataFrame:
@@ -73,4 +74,5 @@ def quantiles(sums: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 def token_lengths(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Histogram with suffix sums of the encoded lengths of whole texts; null text has length 0, no rows give none."""
-    return suffix_sums(histogram(bpe.token_counts(docs, path, key, text)))
+    # One row for each length: written once, as the sums read it twice and the encoding is the cost.
+    return suffix_sums(materialise(histogram(bpe.token_counts(docs, path, key, text)), "token-lengths"))
