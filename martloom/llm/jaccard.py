@@ -11,7 +11,9 @@ Exact prefix filtering over distinct sets, with the two skips of set-relation jo
 3. Lists skip by set relation: a list's sets are compared with a leader first. A set that is highly similar to the
    leader has the leader's answers: inside its group no more comparisons are needed, and lists whose sets are all in one
    group are finished. Rounds with new leaders go on while they shrink what is left; the rest is
-   joined pair by pair, skipping by size and by position. So a group of F near copies costs F comparisons, not F squared.
+   joined pair by pair, skipping by size, by position and by marks: a few words whose bits are turned by each shared
+   shingle. Bits that differ are shingles that only one of two sets has. So a group of F near copies costs F
+   comparisons, not F squared.
 
 Shingles are 64-bit hashes. Equal sets are one set. Null, blank and empty texts have empty sets and are linked with
 nothing. Rows of a repeated id stay separate rows; a null id is never the smallest of a group with other ids.
@@ -36,6 +38,8 @@ SHARD = 24 << 20
 #: Shingles of a prefix that families first meet by, rounds of leaders at most, and pairs for each list entry below
 #: which the rest is joined at once.
 SEEDS, ROUNDS, FEW = 2, 8, 4
+#: Words of 64 bits in the marks of a set; fewer or more only change how many pairs are compared.
+MARKS = 8
 #: Pairs below which the sets in them are picked out before they are joined; the result is the same either way.
 NARROW = 10_000
 
@@ -149,6 +153,14 @@ def _shared(table: pa.Table, parts: int) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["part", "keys", "member", "sets", "sizes", "df"])
 
 
+def _marks(keys: np.ndarray, at: np.ndarray, sets: int) -> pa.StructArray:
+    """The parity of each set's shingles on every bit."""
+    words = np.zeros((sets, MARKS), np.uint64)
+    bit = keys.view(np.uint64) % np.uint64(64 * MARKS)
+    np.bitwise_xor.at(words, (at, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(w).view(np.int64)) for w in words.T], [f"m{i}" for i in range(MARKS)])
+
+
 def _rank(table: pa.Table) -> pa.Table:
     """Sets of a range whose prefix reaches a shared shingle, their shared shingles from rare to frequent."""
     keys, sets, sizes, number = _gather(table, with_df=True)
@@ -161,12 +173,13 @@ def _rank(table: pa.Table) -> pa.Table:
     kept = prefix > 0
     offsets = np.concatenate([[0], np.cumsum(shared[kept])])
     ranked = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[kept[at]]))
-    columns = [pa.array(ids[kept]), pa.array(n[kept].astype(np.int32)), pa.array((n - shared)[kept].astype(np.int32)), ranked, pa.array(prefix[kept].astype(np.int32))]
-    return pa.table(columns, ["set", "n", "alone", "ranked", "prefix"])
+    marks = _marks(keys, at, len(ids)).filter(pa.array(kept))
+    columns = [pa.array(ids[kept]), pa.array(n[kept].astype(np.int32)), pa.array((n - shared)[kept].astype(np.int32)), ranked, pa.array(prefix[kept].astype(np.int32)), marks]
+    return pa.table(columns, ["set", "n", "alone", "ranked", "prefix", "marks"])
 
 
 def _ranked_sets(docs: DataFrame, text: str) -> DataFrame:
-    """(set, n, alone, ranked, prefix): sets whose prefix reaches a shared shingle. ``alone`` shingles of their own come
+    """(set, n, alone, ranked, prefix, marks): sets whose prefix reaches a shared shingle. ``alone`` shingles of their own come
     first in the order, then ``ranked``, the shared ones from rare to frequent; ``prefix`` of these are in the prefix."""
     shards = max(1, -(-text_bytes(docs, text) // SHARD))
 
@@ -176,10 +189,11 @@ def _ranked_sets(docs: DataFrame, text: str) -> DataFrame:
     def shared(table: pa.Table) -> pa.Table:
         return _shared(table, shards)
 
+    marks = ", ".join(f"m{i}: long" for i in range(MARKS))
     packed = "keys binary, member binary, sets binary, sizes binary"
     sent = docs.select(F.col(text).alias("text")).mapInArrow(send, f"shard int, {packed}")
     returned = sent.groupBy("shard").applyInArrow(shared, f"part int, {packed}, df binary")
-    ranked = returned.groupBy("part").applyInArrow(_rank, "set long, n int, alone int, ranked array<long>, prefix int")
+    ranked = returned.groupBy("part").applyInArrow(_rank, f"set long, n int, alone int, ranked array<long>, prefix int, marks struct<{marks}>")
     return materialise(ranked, "jaccard-sets")
 
 
@@ -206,6 +220,14 @@ def _sizes_fit(a: str, b: str):
     return 100 * F.least(F.col(a), F.col(b)) >= PERCENT * F.greatest(F.col(a), F.col(b))
 
 
+def _marks_fit(a: str, b: str):
+    """Whether sets may pass whose marks differ as they do: n less alone shingles are shared, and each bit that differs
+    is one of these that is not in both."""
+    differ = sum(F.bit_count(F.col(f"marks_{a}.m{i}").bitwiseXOR(F.col(f"marks_{b}.m{i}"))) for i in range(MARKS))
+    both, shared = F.col(f"n_{a}") + F.col(f"n_{b}"), F.col(f"n_{a}") + F.col(f"n_{b}") - F.col(f"alone_{a}") - F.col(f"alone_{b}")
+    return (100 + PERCENT) * (shared - differ) >= 2 * PERCENT * both
+
+
 def _with_groups(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of sets with the group each is in by now: its own id where it has no link."""
     known = labels.select(F.col("node").alias("set"), F.col("component").alias("known"))
@@ -251,10 +273,10 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
         one = _with_groups(seeds, labels).select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
         labels, before = _merge(lists.select("key", "a", "n_a", "group_a").join(one, "key"), sets, labels), left
     # Then the whole prefixes, in lists that are still open.
-    full = _with_groups(sets, labels).select("set", "n", "alone", "group", F.posexplode(F.slice("ranked", 1, F.col("prefix"))).alias("i", "key"))
+    full = _with_groups(sets, labels).select("set", "n", "alone", "group", "marks", F.posexplode(F.slice("ranked", 1, F.col("prefix"))).alias("i", "key"))
     waiting = full.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
     full = materialise(full.join(materialise(waiting, "jaccard-waiting"), "key", "left_semi"), "jaccard-lists")
-    full, before = full.select("key", "set", "n", (F.col("alone") + F.col("i")).alias("place")), None
+    full, before = full.select("key", "set", "n", "alone", "marks", (F.col("alone") + F.col("i")).alias("place")), None
     for turn in range(ROUNDS + 1):
         grouped = _with_groups(full, labels)
         lists, entries, left = _open_lists(grouped, turn)
@@ -262,11 +284,12 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
             break
         full = materialise(full.join(lists.select("key"), "key", "left_semi"), "jaccard-lists")
         grouped = _with_groups(full, labels)
-        one = grouped.select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("group").alias("group_b"))
+        one = grouped.select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
         if left <= FEW * entries or turn == ROUNDS or (before is not None and left > 0.7 * before):
             rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-            both = grouped.select("key", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("group").alias("group_a"))
-            both = both.join(one, "key").where((F.col("a") < F.col("b")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("n_a") + F.col("n_b"))))
+            one, two = (grouped.select("key", F.col("set").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "alone", "place", "group", "marks")]) for x in "ab")
+            both = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("n_a") + F.col("n_b"))))
+            both = both.where(_marks_fit("a", "b"))
             return _merge(both, sets, labels)
         labels, before = _merge(lists.select("key", "a", "n_a", "group_a").join(one, "key"), sets, labels), left
     return labels
