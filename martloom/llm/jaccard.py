@@ -40,8 +40,6 @@ SHARD = 24 << 20
 SEEDS, ROUNDS, FEW = 2, 8, 4
 #: Words of 64 bits in the marks of a set; fewer or more only change how many pairs are compared.
 MARKS = 8
-#: Pairs below which the sets in them are picked out before they are joined; the result is the same either way.
-NARROW = 10_000
 
 
 def shingle_sets(texts: list[str | None], width: int = WORDS) -> list[np.ndarray]:
@@ -200,8 +198,7 @@ def _ranked_sets(docs: DataFrame, text: str) -> DataFrame:
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The groups of the pairs (a, b) whose sets pass the threshold, by the exact size of their intersection."""
     met = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    if pairs.count() < NARROW:  # few sets are met: only they are dealt out
-        sets = materialise(sets.join(materialise(met, "jaccard-met"), "set", "left_semi"), "jaccard-met-sets")
+    sets = materialise(sets.join(materialise(met, "jaccard-met"), "set", "left_semi"), "jaccard-met-sets")  # only these are dealt out
     left = sets.select(F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("ranked").alias("keys_b"))
     right = sets.select(F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("ranked").alias("keys_a"))
     both = pairs.join(left, "b").join(right, "a")
