@@ -57,7 +57,6 @@ def _in_box(lat: Column, lon: Column, c_lat: Column, c_lon: Column, degrees: flo
 def nearest_centre(
     points: DataFrame,
     centres: DataFrame,
-    point_key: list[str],
     centre_id: str,
     payload: list[str],
     box_degrees: float | None = None,
@@ -75,8 +74,8 @@ def nearest_centre(
     ``box_degrees`` limits the search to a degree box. The number of centres is checked: up to
     ``list_limit`` of them become a broadcast table of grid cells with the few centres that can win
     there, so that a point costs one hash probe, stays in its partition and is never multiplied. More
-    centres go through grid-cell equi-joins and a minimum per ``point_key``. Points without a usable
-    position never match.
+    centres go through grid-cell equi-joins and a minimum per distinct position, joined back to the points by
+    it. Both give each point one row, whatever its other columns. Points without a usable position never match.
     """
     listed = centres.where(usable_position(F.col(centre_lat), F.col(centre_lon))).select(
         F.col(centre_id).alias("id"), F.col(centre_lat).cast("double").alias("lat"),
@@ -99,13 +98,13 @@ def nearest_centre(
         # A generator, so that the choice is computed once however often its fields are read.
         matched = probed.withColumn("_best", (F.explode_outer if keep_unmatched else F.explode)(best))
     else:
-        usable = points.where(usable_position(*place)).select(*point_key, lat, lon)
+        usable = points.where(usable_position(*place)).select(lat, lon).distinct()
         if box_degrees is not None:
-            chosen = _match_in_box(usable, listed, point_key, box_degrees, inclusive, lat, lon)
+            chosen = _match_in_box(usable, listed, box_degrees, inclusive, lat, lon)
         else:
-            chosen = _match_by_rings(usable, listed, point_key, lat, lon)
-        chosen = chosen.select(*point_key, F.struct(F.col("_c").alias("centre")).alias("_best"))
-        matched = points.join(chosen, point_key, "left" if keep_unmatched else "inner")
+            chosen = _match_by_rings(usable, listed, lat, lon)
+        chosen = chosen.select(lat, lon, F.struct(F.col("_c").alias("centre")).alias("_best"))
+        matched = points.join(chosen, [lat, lon], "left" if keep_unmatched else "inner")
     extra = [haversine_km(*place, F.col("_best.centre.lat"), F.col("_best.centre.lon")).alias(distance)] if distance else []
     return matched.select(*points.columns, *[F.col(f"_best.centre.p_{p}").alias(p) for p in payload], *extra)
 
@@ -189,22 +188,22 @@ def _sphere_cells(listed: DataFrame) -> DataFrame:
     return measured.select("_cell", F.transform(can_win, lambda m: m["c"]).alias("_near"))
 
 
-def _pick(joined: DataFrame, point_key: list[str], lat: str, lon: str) -> DataFrame:
+def _pick(joined: DataFrame, lat: str, lon: str) -> DataFrame:
     rank = chord_rank(unit_vector(F.col(lat), F.col(lon)), unit_vector(F.col("_c.lat"), F.col("_c.lon")))
     best = F.min(F.struct(rank.alias("rank"), F.col("_c.id").alias("id"), F.col("_c").alias("c")))
-    return joined.groupBy(*point_key, lat, lon).agg(best.alias("_m")).select(*point_key, lat, lon, F.col("_m.c").alias("_c"))
+    return joined.groupBy(lat, lon).agg(best.alias("_m")).select(lat, lon, F.col("_m.c").alias("_c"))
 
 
-def _match_in_box(points, listed, point_key, degrees, inclusive, lat, lon):
+def _match_in_box(points, listed, degrees, inclusive, lat, lon):
     boxed = listed.select(F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), F.struct("*").alias("_c"))
-    return _pick(box_join(points, boxed, degrees, "inner", inclusive, lat, lon), point_key, lat, lon)
+    return _pick(box_join(points, boxed, degrees, "inner", inclusive, lat, lon), lat, lon)
 
 
-def _match_by_rings(points, listed, point_key, lat, lon):
+def _match_by_rings(points, listed, lat, lon):
     """Widen the radius until every point has met a centre; a ring settles the points whose
     nearest hit lies within its radius, for any closer centre would have been in it too."""
     centres = listed.select(F.struct("*").alias("_c"))
-    pending, settled = points, None
+    pending, settled = materialise(points, "positions"), None
     for km in _RINGS_KM:
         around = neighbour_cells(sphere_cell(F.col("_c.lat"), F.col("_c.lon"), km), km)
         cells = centres.withColumn("_near", F.explode(around)).select(
@@ -212,9 +211,9 @@ def _match_by_rings(points, listed, point_key, lat, lon):
         )
         hits = pending.withColumn("_cell", sphere_cell(F.col(lat), F.col(lon), km)).join(cells, "_cell")
         reach = haversine_km(F.col(lat), F.col(lon), F.col("_c.lat"), F.col("_c.lon"))
-        best = materialise(_pick(hits, point_key, lat, lon).where(reach <= km), "nearest")
+        best = materialise(_pick(hits, lat, lon).where(reach <= km), "nearest")
         settled = best if settled is None else settled.unionByName(best)
-        pending = pending.join(best.select(*point_key), point_key, "left_anti")
+        pending = materialise(pending.join(best.select(lat, lon), [lat, lon], "left_anti"), "positions")
         if pending.isEmpty():
             break
     return settled

@@ -33,7 +33,7 @@ def assign_city(
     """Nearest city per event; with ``max_km`` only cities inside a degree box of that size count."""
     box = None if max_km is None else km_to_degrees(max_km)
     return nearest_centre(
-        events, centres(cities), ["event_id"], "zone_id", payload, box_degrees=box,
+        events, centres(cities), "zone_id", payload, box_degrees=box,
         distance=distance, keep_unmatched=keep_unmatched, **options,
     )
 

@@ -39,7 +39,7 @@ def not_yet_talked(pairs: DataFrame, messages: DataFrame) -> DataFrame:
 def zoned_positions(positions: DataFrame, cities: DataFrame) -> DataFrame:
     """Positions with the zone of the nearest city in a narrow box, null where there is none."""
     return nearest_centre(
-        positions, centres(cities), ["user_id"], "zone_id", ["timezone"],
+        positions, centres(cities), "zone_id", ["timezone"],
         box_degrees=ZONE_BOX_DEGREES, inclusive=False, keep_unmatched=True,
     )
 

@@ -140,7 +140,7 @@ def _centres(spark):
 def test_nearest_centre_both_forms_equal_brute_force(spark, limit):
     points, df = _grid_points(spark)
     spots, centres = _centres(spark)
-    got = spatial.nearest_centre(df, centres.withColumn("zone", F.col("id")), ["event_id"], "id", ["zone"], distance="km", list_limit=limit)
+    got = spatial.nearest_centre(df, centres.withColumn("zone", F.col("id")), "id", ["zone"], distance="km", list_limit=limit)
     found = {r.event_id: (r.zone, r.km) for r in got.collect()}
     expected = {}
     for i, lat, lon in points[:-2]:
@@ -156,17 +156,25 @@ def test_nearest_centre_in_a_box_keeps_or_drops_the_rest(spark, limit):
     _, df = _grid_points(spark)
     _, centres = _centres(spark)
     named = centres.withColumn("zone", F.col("id"))
-    inner = spatial.nearest_centre(df, named, ["event_id"], "id", ["zone"], box_degrees=0.1, list_limit=limit)
+    inner = spatial.nearest_centre(df, named, "id", ["zone"], box_degrees=0.1, list_limit=limit)
     assert {r.event_id: r.zone for r in inner.collect()} == {0: 1, 1: 2}
-    left = spatial.nearest_centre(df, named, ["event_id"], "id", ["zone"], box_degrees=0.1, keep_unmatched=True, list_limit=limit)
+    left = spatial.nearest_centre(df, named, "id", ["zone"], box_degrees=0.1, keep_unmatched=True, list_limit=limit)
     assert sum(r.zone is None for r in left.collect()) == 8 and left.count() == 10
 
 
+@pytest.mark.parametrize("limit", [200, 2])
+@pytest.mark.parametrize("degrees", [None, 0.1])
+def test_nearest_centre_with_repeated_and_null_keys(spark, limit, degrees):
+    df = spark.createDataFrame([(1, -37.8, 144.9), (1, -33.8, 151.2), (None, -37.8, 144.9), (None, -37.8, 144.9)], "event_id int, lat double, lon double")
+    got = spatial.nearest_centre(df, _centres(spark)[1].withColumn("zone", F.col("id")), "id", ["zone"], box_degrees=degrees, list_limit=limit)
+    assert sorted((r.event_id or 0, r.lat, r.zone) for r in got.collect()) == [(0, -37.8, 1), (0, -37.8, 1), (1, -37.8, 1), (1, -33.8, 2)]
+
+
 def test_nearest_centre_without_centres(spark):
     _, df = _grid_points(spark)
     none = _centres(spark)[1].limit(0)
-    assert spatial.nearest_centre(df, none, ["event_id"], "id", ["c_lat"]).count() == 0
-    assert spatial.nearest_centre(df, none, ["event_id"], "id", ["c_lat"], keep_unmatched=True).count() == 10
+    assert spatial.nearest_centre(df, none, "id", ["c_lat"]).count() == 0
+    assert spatial.nearest_centre(df, none, "id", ["c_lat"], keep_unmatched=True).count() == 10
 
 
 @pytest.mark.parametrize("inclusive", [True, False])
