@@ -206,6 +206,19 @@ def test_warehouse_end_to_end_and_again(spark):
     assert (float(ledger[0].order_processing_fee), float(ledger[0].courier_order_sum), float(ledger[0].courier_reward_sum)) == (1000.0, 280.0, 375.0)
 
 
+def test_warehouse_takes_the_last_version(spark):
+    s = staging(spark)
+    renamed = [("r1", json.dumps({"name": n, "menu": [{"_id": "p1", "name": "Soup", "price": 10}]}), dt.datetime(2024, 1, d)) for n, d in (("Old", 1), ("Zed", 2), ("New", 3))]
+    s["restaurants"] = spark.createDataFrame(renamed, s["restaurants"].schema)
+    paid = [(i, json.dumps({"order_id": "o1", "product_payments": [{"product_id": "p1", "quantity": q, "price": 10, "bonus_payment": 0, "bonus_grant": 0}]}), dt.datetime(2024, 1, 10, i)) for i, q in ((1, 9), (2, 4), (3, 5))]
+    s["bonus_events"] = spark.createDataFrame(paid, "id int, event_value string, event_ts timestamp")
+    base = work_dir(spark, "house-versions")
+    pipelines.run_warehouse(spark, s, base, dt.date(2024, 2, 5))
+    assert [r.restaurant_name for r in spark.read.parquet(f"{base}/dm_restaurants").collect()] == ["New"]
+    assert [r["count"] for r in spark.read.parquet(f"{base}/fct_product_sales").collect()] == [5]
+    assert [float(r.orders_total_sum) for r in spark.read.parquet(f"{base}/dm_settlement_report").collect()] == [50.0]
+
+
 def test_orders_already_there_are_left_out(spark):
     s = staging(spark)
     dims = (warehouse.dim_timestamps(s["orders"], s["deliveries"]), warehouse.dim_restaurants(s["restaurants"]), warehouse.dim_users(s["users"]), warehouse.dim_couriers(s["couriers"]))
