@@ -270,10 +270,11 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
         one = _with_groups(seeds, labels).select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
         labels, before = _merge(lists.select("key", "a", "n_a", "group_a").join(one, "key"), sets, labels), left
     # Then the whole prefixes, in lists that are still open.
-    full = _with_groups(sets, labels).select("set", "n", "alone", "group", "marks", F.posexplode(F.slice("ranked", 1, F.col("prefix"))).alias("i", "key"))
+    heads = sets.select("set", "n", "alone", F.slice("ranked", 1, F.col("prefix")).alias("head"))  # no more than that is dealt out
+    full = _with_groups(heads, labels).select("set", "n", "alone", "group", F.posexplode("head").alias("i", "key"))
     waiting = full.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
     full = materialise(full.join(materialise(waiting, "jaccard-waiting"), "key", "left_semi"), "jaccard-lists")
-    full, before = full.select("key", "set", "n", "alone", "marks", (F.col("alone") + F.col("i")).alias("place")), None
+    full, before = full.select("key", "set", "n", "alone", (F.col("alone") + F.col("i")).alias("place")), None
     for turn in range(ROUNDS + 1):
         grouped = _with_groups(full, labels)
         lists, entries, left = _open_lists(grouped, turn)
@@ -283,6 +284,7 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
         grouped = _with_groups(full, labels)
         one = grouped.select("key", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
         if left <= FEW * entries or turn == ROUNDS or (before is not None and left > 0.7 * before):
+            grouped = grouped.join(sets.select("set", "marks"), "set")
             rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
             one, two = (grouped.select("key", F.col("set").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "alone", "place", "group", "marks")]) for x in "ab")
             both = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("n_a") + F.col("n_b"))))
