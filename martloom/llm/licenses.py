@@ -1,8 +1,10 @@
 """License recognition by sentences: normalised sentences become identifiers of known license sentences, and the
 sequence of identifiers of a document is matched against ordered rules.
 
-A sentence ends at a line break or at . ! ? before white space; it is normalised to its lower-case ASCII words. Null
-and empty texts have no sentences. Matching is a lookup, so the cost is one pass over the text for any number of rules.
+A text is read as its lower-case ASCII words, so line breaks, rulers and comment signs inside a sentence do not matter. A
+known sentence begins with a line, or after . ! ? : ; ) and white space, and ends with its line or at . ! ? : ; before white
+space; between the two it may be wrapped over any lines. Null and empty texts have no sentences. Matching walks a tree of
+words from the first word of a line or sentence, so the cost is about one pass over the text for any number of rules.
 """
 
 from __future__ import annotations
@@ -47,42 +49,56 @@ RULES = {
 HIDES = {"BSD-3-Clause": ("BSD-2-Clause",)}
 
 _ENDS = re.compile(r"\n|(?<=[.!?:;])(?=\s)")
-_WORDS = re.compile(r"[a-z0-9]+")
+_WORDS = re.compile(r"[A-Za-z0-9]+")
+#: The first word of a line or sentence, nothing where the line has none left.
+_FIRST = re.compile(r"(?:\A\n?|\n|(?<=[.!?:;)])(?=\s))[^A-Za-z0-9\n]*([A-Za-z0-9]+|(?=\n)|\Z)")
 
 
 def normal(sentence: str) -> str:
     """Lower-case ASCII words joined by spaces."""
-    return " ".join(_WORDS.findall(sentence.lower()))
+    return " ".join(_WORDS.findall(sentence)).lower()
 
 
 class Recogniser:
     """Sentence table and rules in force."""
 
     def __init__(self, sentences: dict[str, Sequence[str]] = SENTENCES, rules: dict[str, Sequence[Sequence[str]]] = RULES):
-        self.known = {normal(part): (name, i, len(parts)) for name, texts in sentences.items() for text in texts
-                      for parts in [[p for p in _ENDS.split(text) if normal(p)]] for i, part in enumerate(parts)}
-        self.starts = {k[:6] for k in self.known}
+        #: Tree of the sentences' words; the identifier of a sentence stands under the empty word.
+        self.tree: dict = {}
+        for name, texts in sentences.items():
+            for text in texts:
+                node = self.tree
+                for word in normal(text).split():
+                    node = node.setdefault(word, {})
+                node[""] = name
         self.rules = rules
 
+    def _longest(self, text: str, start: int) -> tuple[str, int] | None:
+        """(identifier, end of the last word) of the longest known sentence from here that ends where a sentence can."""
+        node, found, last = self.tree, None, None
+        for word in _WORDS.finditer(text, start):
+            if last and "" in node and _ENDS.search(text, last, word.start()):
+                found = node[""], last
+            node = node.get(word[0].lower())
+            if node is None:
+                return found
+            last = word.end()
+        return (node[""], last) if last and "" in node else found
+
     def sentences(self, text: str | None) -> list[tuple[str, int, int]]:
-        """(identifier, start, end) of the known sentences, in order; a sentence that spans several pieces needs them all in a row."""
-        out, start, run = [], 0, None
-        if not text:
-            return out
-        for piece in _ENDS.split(text):
-            end = start + len(piece)
-            bare = piece.lstrip()
-            found = self.known.get(normal(piece)) if normal(bare[:24])[:6] in self.starts else None
-            if found:
-                name, i, n = found
-                first = start + len(piece) - len(bare)
-                run = (name, i, first) if i == 0 else (name, i, run[2]) if run and run[0] == name and run[1] == i - 1 else None
-                if run and i == n - 1:
-                    out.append((name, run[2], start + len(piece.rstrip())))
-                    run = None
-            elif bare:
-                run = None
-            start = end + (text[end : end + 1] == "\n")
+        """(identifier, start, end) of the known sentences, in order; the end takes in the signs up to white space."""
+        out, at = [], 0
+        while text and at < len(text) and (first := _FIRST.search(text, at)):
+            at = max(first.end(), at + 1)
+            if first[1].lower() in self.tree and (found := self._longest(text, first.start(1))):
+                start = first.start(1)
+                while start > first.start() and not text[start - 1].isspace():
+                    start -= 1
+                at = found[1]
+                end = at
+                while end < len(text) and not text[end].isspace():
+                    end += 1
+                out.append((found[0], start, end))
         return out
 
     def licenses(self, ids: Sequence[str]) -> list[str]:

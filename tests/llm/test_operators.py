@@ -302,6 +302,50 @@ def test_licenses(docs, empty):
     assert licenses.licenses(empty).count() == 0
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+
+
+def test_licenses_wrapped_over_lines(spark):
+    boxed = "#" * 40 + " " + "\n".join(" *  " + line for line in WRAPPED["MIT"].split("\n")) + "\n" + "*" * 40
+    rows = [*WRAPPED.items(), ("crlf", WRAPPED["MIT"].replace("\n", "\r\n")), ("box", boxed), ("signs", ". " * 100_000), ("lines", "\n\n"), ("first", "\nReleased under\nthe MIT License")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = _by_id(licenses.licenses(docs))
+    assert all(found[name]["licenses"] == [name] for name in WRAPPED)
+    assert found["crlf"]["licenses"] == found["box"]["licenses"] == found["first"]["licenses"] == ["MIT"]
+    assert found["signs"]["n_sentences"] == found["lines"]["n_sentences"] == 0
+    name, start, end = found["MIT"]["spans"].split(",")[1].split(":")
+    assert WRAPPED["MIT"][int(start) : int(end)].split()[::19] == ["The", "Software."] and name == "mit-notice"
+    known = licenses.Recogniser()
+    assert known.sentences("Released under the MIT License or another.") == []
+
+
 def test_pipeline_stages_take_effect_and_keep_clean_documents(spark, docs, benchmark, tmp_path):
     import corpus_pipeline
 
