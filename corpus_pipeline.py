@@ -3,8 +3,9 @@ documents go, secrets are masked, and the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet to the shared folder and
 reads it again as the next stage's input. All stages but the last return the columns of ``documents``; what a stage removes or
-masks is gone for the next. A null id is a document of its own in every stage, null text is empty text. Extra columns of
-the input are kept by all stages but the last, whose own columns ``ids`` and ``n_tokens`` replace any of these names.
+masks is gone for the next. Rows are judged by their texts, so a null id is a document of its own in every stage and rows of a
+repeated id are documents of their own; null text is empty text. Extra columns of the input are kept by all stages but the last,
+whose own columns ``ids`` and ``n_tokens`` replace any of these names.
 """
 
 from __future__ import annotations
@@ -25,13 +26,11 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group linked by Jaccard similarity, once; documents without an id stay."""
+    """One row of each group linked by Jaccard similarity: that of the smallest id, with or without an id judged by its text.
+
+    Rows of a repeated id are judged apart, so unrelated texts under one id all stay."""
     on_workers(spark)
-    named = docs.where("doc_id is not null")
-    kept = jaccard.groups(named).where("doc_id = component_id").select("doc_id").distinct()
-    # The join deals the rows out by id, and the window needs no other order: a repeated id is one document, its first text.
-    once = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where("doc_id is null"))
+    return jaccard.first_rows(docs)
 
 
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

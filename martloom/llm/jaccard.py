@@ -303,3 +303,34 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     lowest = placed.where("group is not null").groupBy("group").agg(F.min("key").alias("lowest"))
     out = placed.join(lowest, "group", "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("lowest", "key").alias("component_id"))
+
+
+def first_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of which each group linked by Jaccard similarity keeps one, all columns.
+
+    Rows are judged by their own text, whatever their key: the row kept is the one of the least key, then of the least
+    hash of the text and of the row; rows without a key come last. Rows without words are linked with nothing and stay; of
+    rows that are equal in all columns, key included, one stays, unless they have neither key nor words.
+    """
+    on_workers(docs.sparkSession)
+    mark = "row"
+    while mark in docs.columns:
+        mark += "_"
+    # Maps have no hash and are hashed as JSON.
+    columns = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    order = F.struct(
+        F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("t1"), F.hash(F.col(text)).alias("t2"),
+        F.xxhash64(F.col(key).isNull(), *columns).alias("t3"))
+    marked = docs.withColumn(mark, order)
+    # ASCII white space, as in the words of shingles.
+    worded = F.coalesce(F.col(text).rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    members = materialise(sets_of(marked.where(worded), mark, text), "jaccard-members")
+    labels = links(docs, text).select(F.col("node").alias("set"), F.col("component").alias("linked"))
+    placed = members.join(labels, "set", "left").groupBy(F.coalesce("linked", "set").alias("group")).agg(F.min("key").alias("first"))
+    hashes = ["t1", "t2", "t3"]
+    flat = marked.select("*", *[F.col(f"{mark}.{h}").alias(f"{mark}_{h}") for h in hashes])
+    keys = [f"{mark}_{h}" for h in hashes]
+    first = materialise(placed.select(*[F.col(f"first.{h}").alias(k) for h, k in zip(hashes, keys)]).distinct(), "jaccard-first")
+    kept = flat.where(worded).join(first, keys, "left_semi").dropDuplicates([key, *keys])
+    kept = kept.unionByName(flat.where(~worded & F.col(key).isNotNull()).dropDuplicates([key, *keys]))
+    return kept.drop(mark, *keys).unionByName(docs.where(~worded & F.col(key).isNull()))

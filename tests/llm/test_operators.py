@@ -363,6 +363,22 @@ def test_pipeline_stages_take_effect_and_keep_clean_documents(spark, docs, bench
     assert found[13]["ids"] != library.encode(TEXTS[13], add_special_tokens=False).ids
 
 
+def test_pipeline_judges_near_duplicates_by_row(spark):
+    import corpus_pipeline
+
+    near, other, third = _edited(BASE, 150), _text(50), _text(50)
+    # Id 5 is a near copy and a text of its own, id 6 two texts of its own, id 7 the same text in two languages.
+    rows = [(3, BASE, "en"), (5, near, "en"), (5, other, "en"), (6, third, "en"), (6, "some words alone", "en"), (7, "seven words", "fr"), (7, "seven words", "de"), (8, " ", "en"), (8, " ", "en"), (9, None, "en")]
+    want = sorted([(3, BASE), (5, other), (6, third), (6, "some words alone"), (7, "seven words"), (8, " "), (9, "")])
+    languages = set()
+    for seed in range(2):
+        docs = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "doc_id long, text string, lang string").repartition(1 + 3 * seed)
+        found = corpus_pipeline.near_duplicates_out(spark, docs, "").collect()
+        assert sorted((r["doc_id"], r["text"] or "") for r in found) == want
+        languages |= {r["lang"] for r in found if r["doc_id"] == 7}
+    assert len(languages) == 1
+
+
 def test_folds(spark):
     row = spark.createDataFrame([(17,), (None,)], "doc_id long").select(remainder("doc_id", 4).alias("r")).collect()
     assert row[0][0] == zlib.crc32(b"17") % 4 and row[1][0] == 0
