@@ -34,10 +34,14 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in 20 lies in a benchmark window."""
-    marked = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = materialise(marked.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti")
+    """Documents of which less than one word in 20 lies in a benchmark window; decided by text, so with or without an id."""
+    mark = "text_key"
+    while mark in docs.columns:
+        mark += "_"
+    keyed = docs.withColumn(mark, F.struct(F.xxhash64("text").alias("t1"), F.hash("text").alias("t2")))
+    marked = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), key=mark)
+    bad = materialise(marked.where("contaminated").select(mark).distinct(), "contaminated")
+    return keyed.join(bad, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

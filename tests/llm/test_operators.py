@@ -379,6 +379,20 @@ def test_pipeline_judges_near_duplicates_by_row(spark):
     assert len(languages) == 1
 
 
+def test_pipeline_judges_documents_without_an_id(spark, benchmark, tmp_path):
+    import corpus_pipeline
+
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    passage, clean, apart = " ".join(BASE.split()[20:60]), _text(60), _text(70)
+    rows = [(None, passage), (1, passage), (1, clean), (None, clean), (None, _edited(clean, 60)), (None, apart), (None, apart), (None, ""), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates_out(spark, docs, str(tmp_path))
+    want = [(1, passage), (1, clean), (None, apart), (None, ""), (None, ""), (None, None)]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(want, key=repr)
+    left = corpus_pipeline.contaminated_out(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect()), key=repr) == sorted(rows[2:], key=repr)
+
+
 def test_folds(spark):
     row = spark.createDataFrame([(17,), (None,)], "doc_id long").select(remainder("doc_id", 4).alias("r")).collect()
     assert row[0][0] == zlib.crc32(b"17") % 4 and row[1][0] == 0
