@@ -360,6 +360,29 @@ def test_licenses_wrapped_over_lines(spark):
     assert known.sentences("Released under the MIT License or another.") == []
 
 
+def test_licenses_of_common_public_texts(spark):
+    free = "This {} is free software; you can redistribute it and/or\nmodify it under the terms of the {}\nas published by the Free Software Foundation; either version {} of\nthe License, or (at your option) any later version."
+    want = {
+        "Copyright 2020 Foo Inc. All rights reserved.": ["Proprietary"], "All rights reserved.": ["Proprietary"],
+        free.format("program", "GNU General Public License", "2"): ["GPL-2.0"],
+        free.format("library", "GNU Lesser General Public License", "2.1"): ["LGPL-2.1"],
+        free.format("file", "GNU Affero General Public License", "3"): ["AGPL-3.0"],
+        "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy": ["MPL-2.0"],
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": ["ISC"],
+        "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/": ["EPL-2.0"],
+        "This work is licensed under CC0 1.0.": ["CC0-1.0"], "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0"],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+        "// SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0 OR mit) AND LicenseRef-own": ["GPL-2.0", "LicenseRef-own", "MIT"],
+        "(c) Foo. All rights reserved.\n" + WRAPPED["BSD-3-Clause"].replace("the copyright holder", "Foo Inc."): ["BSD-3-Clause"],
+        licenses.SENTENCES["gpl-warranty"][0]: ["GPL"], "Some rights are reserved. SPDX lines are short.": [],
+    }
+    texts = list(want)
+    found = _by_id(licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert {t: found[i]["licenses"] for i, t in enumerate(texts)} == want
+    named = {name for rules in licenses.RULES.values() for rule in rules for name in rule}
+    assert named <= set(licenses.SENTENCES) and set(licenses.SENTENCES) <= named
+
+
 def test_pipeline_stages_take_effect_and_keep_clean_documents(spark, docs, benchmark, tmp_path):
     import corpus_pipeline
 
