@@ -18,6 +18,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("events-path", "cities-path", "output-path", "date-from", "date-to"):
         geo.add_argument(f"--{name}", required=True)
     geo.add_argument("--only", choices=["profiles", "zones", "recommendations"], action="append")
+    geo.add_argument("--margin-days", type=int, help="read for the zones only the day folders of the period and so many days on either side; without it, every folder")
     house = jobs.add_parser("warehouse", help="staging to dimensions, facts and marts")
     house.add_argument("--staging-path", required=True)
     house.add_argument("--output-path", required=True)
@@ -29,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"martloom-{args.job}")
     if args.job == "geo":
-        run = GeoRun(args.events_path, args.cities_path, args.output_path, args.date_from, args.date_to)
+        run = GeoRun(args.events_path, args.cities_path, args.output_path, args.date_from, args.date_to, args.margin_days)
         run_geo_marts(spark, run, tuple(args.only or ("profiles", "zones", "recommendations")))
     else:
         staging = {name: spark.read.parquet(f"{args.staging_path}/{name}") for name in STAGED}

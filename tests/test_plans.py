@@ -237,3 +237,19 @@ def test_geo_command_line(spark, cities, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "out/user_profiles")).first().act_city == "Sydney"
     assert spark.read.parquet(str(tmp_path / "out/user_activity_zones")).agg(F.max("month_message")).first()[0] == 2
     assert spark.read.parquet(str(tmp_path / "out/friend_recommendations")).count() == 0
+
+
+def test_zones_count_events_of_far_day_folders(spark, cities, tmp_path, monkeypatch):
+    event = lambda i, sent: {"event": {"message_id": i, "message_from": 1, "datetime": sent}, "event_type": "message", "lat": -37.8, "lon": 144.9}
+    for i, day in enumerate(["2022-01-03", "2022-02-20", "__HIVE_DEFAULT_PARTITION__"]):
+        rows = spark.createDataFrame([json.dumps(event(i, "2022-01-03 08:00:00"))], "string").selectExpr("value")
+        log = rows.select(F.from_json("value", T.StructType.fromDDL(schemas.GEO_EVENT)).alias("e")).select("e.*").drop("date")
+        log.write.parquet(str(tmp_path / f"events/date={day}"))
+    cities.drop("tz").write.option("header", True).csv(str(tmp_path / "geo.csv"))
+    monkeypatch.setattr(cli, "build_session", lambda app: spark)
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    paths = ["--events-path", str(tmp_path / "events"), "--cities-path", str(tmp_path / "geo.csv")]
+    for extra, n in (([], 3), (["--margin-days", "1"], 1)):
+        out = str(tmp_path / f"out{n}")
+        cli.main(["geo", *paths, "--output-path", out, "--date-from", "2022-01-01", "--date-to", "2022-01-31", "--only", "zones", *extra])
+        assert spark.read.parquet(f"{out}/user_activity_zones").agg(F.max("month_message")).first()[0] == n
