@@ -9,11 +9,12 @@ Exact prefix filtering over distinct sets, with the two skips of set-relation jo
    n - ceil(0.8 n) + 1. A set whose prefix holds only shingles of its own is done; the others enter index lists
    with the position. Frequent passages stand last in the order and enter no list, unless a set has little else.
 3. Lists skip by set relation: a list's sets are compared with a leader first. A set that is highly similar to the
-   leader has the leader's answers: inside its group no more comparisons are needed, and lists whose sets are all in one
+   leader is of its group: inside a group no more comparisons are needed, and lists whose sets are all in one
    group are finished. Rounds with new leaders go on while they shrink what is left; the rest is
-   joined pair by pair, skipping by size, by position and by marks: a few words whose bits are turned by each shared
-   shingle. Bits that differ are shingles that only one of two sets has. So a group of F near copies costs F
-   comparisons, not F squared.
+   joined pair by pair: lists have no blocks, every pair of a list's entries is formed first and then dropped by a
+   filter on size, position and marks: a few words whose bits are turned by each shared shingle. Bits that differ are
+   shingles that only one of two sets has. So a group of F near copies costs F comparisons, not F squared, but a long
+   list whose sets are not linked costs its square in pairs formed.
 
 Shingles are 64-bit hashes. Equal sets are one set. Null, blank and empty texts have empty sets and are linked with
 nothing. Rows of a repeated id stay separate rows; a null id is never the smallest of a group with other ids.
