@@ -198,6 +198,25 @@ def test_embeddings_equal_all_pairs(spark, monkeypatch):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_that_tie_on_the_first_coordinate(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 40)
+    values = [0.0] * 500 + [i / 300 - 0.5 for i in range(300)] + [0.75] * 200
+    placed = spark.createDataFrame(list(enumerate(values)), "node long, first double").withColumn("node", F.xxhash64("node"))
+    tiled, lows, highs = embeddings._tiled(placed)
+    sizes = {r["tile"]: r for r in tiled.groupBy("tile").agg(F.count("*").alias("n"), F.min("first").alias("low"), F.max("first").alias("high")).collect()}
+    assert sum(r["n"] for r in sizes.values()) == 1000 and max(r["n"] for r in sizes.values()) <= 80
+    assert all(lows[t] <= r["low"] and r["high"] <= highs[t] for t, r in sizes.items()) and lows == sorted(lows) and highs == sorted(highs)
+    # Blocks: the first dimension holds the most weight, all others have exactly nothing of it.
+    rng = np.random.default_rng(2)
+    x = np.zeros((180, 16))
+    x[:, 1:] = rng.normal(size=(12, 15))[np.arange(180) % 12] + rng.normal(size=(180, 15)) * 0.1
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, [1.0] + [0.0] * 15) for i in range(400)]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    found = _by_id(embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "vec_id")
+    assert [found[i]["n_links"] for i in range(180)] == (linked.sum(axis=1) - 1).tolist() and found[1000]["n_links"] == 399
+
+
 def _jaccard_brute(texts):
     sets = []
     for t in texts:
