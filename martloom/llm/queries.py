@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import bpe, decontaminate, embeddings, jaccard, langid, lengths, licenses, lm, secrets, toxicity
+from martloom.llm import audit, bpe, decontaminate, embeddings, jaccard, langid, lengths, licenses, lm, secrets, toxicity, trie, urls
 from martloom.llm.common import table
+from martloom.llm.oracle import ORACLE  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -52,5 +53,33 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_lm, op3_secrets, op4_decontaminate, op5_embeddings, op6_toxicity, op7_language, op8_jaccard, op9_token_lengths, op10_licenses)}
-ORACLE: dict[str, str] = {}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: The rules of op13_url_filter.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe, op2_lm, op3_secrets, op4_decontaminate, op5_embeddings, op6_toxicity, op7_language, op8_jaccard, op9_token_lengths,
+        op10_licenses, op11_filter_audit, op12_prefix_trie, op13_url_filter,
+    )
+}
