@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martloom.llm.urls import DAMPING, LINK, ROUNDS, THRESHOLD
+
 _GAP = "[\\x20\\x09-\\x0D]+"
 #: crc32 of the decimal text of ``c``, bit by bit.
 _CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT))),
@@ -55,4 +57,29 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n
   CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM nodes n JOIN subtree s ON s.prefix = n.prefix LEFT JOIN children c ON c.prefix = n.prefix LEFT JOIN nodes p ON n.d > 0 AND p.prefix = n.prefix[1:n.d - 1]"""
 
-ORACLE = {"op11_filter_audit": OP11, "op12_prefix_trie": OP12}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What follows the first :// of a url; null where there is none.
+_REST = "CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) END"
+_HOST = f"translate(coalesce(regexp_extract({_REST}, '^[^/?#]*'), ''), '{_UPPER}', '{_LOWER}')"
+_LINK = LINK.replace("'", "''")
+
+OP13 = f"""WITH RECURSIVE p AS (
+  SELECT row_number() OVER () AS row, page_id, html, {_HOST.format(u='url')} AS host, coalesce(regexp_extract({_REST.format(u='url')}, '^[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+ruled AS (
+  SELECT p.row, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY p.row),
+judged AS (SELECT p.page_id, p.host, p.path, r.rule, r.verdict FROM p LEFT JOIN ruled r USING (row)),
+links AS (SELECT host AS source, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS link FROM p),
+edges AS (SELECT source, {_HOST.format(u='link')} AS target, count(*) AS weight FROM links WHERE link <> '' GROUP BY ALL HAVING source <> '' AND target <> '' AND source <> target),
+flows AS (
+  SELECT 'trust' AS kind, source AS a, target AS b, weight / sum(weight) OVER (PARTITION BY source) AS share FROM edges
+  UNION ALL SELECT 'distrust', target, source, weight / sum(weight) OVER (PARTITION BY target) FROM edges),
+waves AS (
+  SELECT 0 AS i, kind, host, avg(CASE WHEN verdict = verdicts THEN 1.0 ELSE 0.0 END) AS value
+  FROM judged, (VALUES ('trust', 'allow'), ('distrust', 'block')) k(kind, verdicts) GROUP BY kind, host
+  UNION ALL SELECT i + 1, w.kind, f.b, sum({DAMPING} * f.share * w.value) FROM waves w JOIN flows f ON f.kind = w.kind AND f.a = w.host WHERE i < {ROUNDS} GROUP BY i, w.kind, f.b),
+standing AS (SELECT host, sum(CASE WHEN kind = 'distrust' THEN value ELSE -value END) AS excess FROM waves GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN excess > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict FROM judged LEFT JOIN standing USING (host)"""
+
+ORACLE = {"op11_filter_audit": OP11, "op12_prefix_trie": OP12, "op13_url_filter": OP13}

@@ -30,7 +30,8 @@ DAMPING, ROUNDS = 0.85, 20
 THRESHOLD = 0.5
 #: Edges of one host that one value row is sent to.
 BLOCK = 10_000
-_LINK = r"""(?is)<!--.*?-->|<script\b.*?</script\s*>|<a\s[^>]*?\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.\-]*://[^"'\s>]+)"""
+#: Comments, scripts, and the absolute link of an ``a`` tag as group 1.
+LINK = r"""(?is)<!--.*?-->|<script\b.*?</script\s*>|<a\s[^>]*?\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.\-]*://[^"'\s>]+)"""
 
 #: (verdict, host, path).
 Rule = tuple[str, str, str]
@@ -69,7 +70,7 @@ def _longest(path: Column, rules: Column) -> Column:
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target, weight): distinct edges between different hosts, with the number of links."""
     found = pages.where(F.col(html).contains("://")).select(
-        host_of(F.col(url)).alias("source"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), F.lit(1))).alias("link")).where("link <> ''")
+        host_of(F.col(url)).alias("source"), F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1))).alias("link")).where("link <> ''")
     edges = found.select("source", host_of(F.col("link")).alias("target")).where("source <> '' and target <> '' and source <> target")
     return edges.groupBy("source", "target").agg(F.count("*").cast("double").alias("weight"))
 

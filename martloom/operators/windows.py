@@ -64,6 +64,25 @@ def numbered_steps(
     )
 
 
+def changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, slice_by: str = "hour") -> DataFrame:
+    """The rows whose ``value`` differs from that of the row before in their key; the first row of a key is one of them.
+
+    Neighbours are compared inside (key, time slice); the first row of a slice is compared with the last value of the slice
+    before, of which there is one small row for each slice. A hot key is sorted slice by slice, in parallel.
+    """
+    sliced = df.withColumn("_slice", F.date_trunc(slice_by, F.col(ts)))
+    within = Window.partitionBy(*keys, "_slice").orderBy(ts, tie)
+    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(ts, tie)).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice")
+    ends = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_s"), F.lag("_end").over(earlier).alias("_end"), F.row_number().over(earlier).alias("_nth"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_slice").eqNullSafe(F.col("_s"))]
+    numbered = sliced.withColumns({"_before": F.lag(value).over(within), "_at": F.row_number().over(within)})
+    joined = numbered.join(ends, same)
+    first = F.col("_at") == 1
+    differs = ~F.col(value).eqNullSafe(F.when(first, F.col("_end")).otherwise(F.col("_before")))
+    return joined.where(differs | (first & (F.col("_nth") == 1))).select(*df.columns)
+
+
 def top_n(df: DataFrame, order_by: Sequence[str | Column], n: int) -> DataFrame:
     """The first ``n`` rows; plans as TakeOrderedAndProject, which keeps ``n`` rows per task."""
     return df.orderBy(*_columns(order_by)).limit(n)

@@ -112,16 +112,39 @@ def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return read_or_empty(spark, path, stored).drop(_BUCKET)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one micro-batch as its own partition; replaying the batch replaces that partition."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-    )
+#: Beside the batches; the leading underscore keeps it out of reads of the table.
+_LEDGER = "_ledger"
+
+
+def run_of(spark: SparkSession) -> str:
+    """The streaming query whose micro-batch this thread is in: its id stays over restarts from its checkpoint, and a fresh checkpoint gets another."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """Append one micro-batch of a run as its own partition, and then enter it into the ledger.
+
+    Replaying the batch replaces that partition, a run from a fresh checkpoint has partitions of its own, and a batch that was
+    cut off before its entry is not read.
+    """
+    spark = df.sparkSession
+    run = run or run_of(spark)
+
+    def write(rows: DataFrame, to: str) -> None:
+        named = rows.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(to)
+
+    write(df, path)
+    write(spark.range(1).coalesce(1).select(F.current_timestamp().alias("entered_at")), f"{path}/{_LEDGER}")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(entered_at, run_id, batch_id) of every batch that is there as a whole."""
+    return read_or_empty(spark, f"{path}/{_LEDGER}", "entered_at timestamp, run_id string, batch_id long")
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All micro-batches written so far, or those before a given one."""
-    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = read_or_empty(spark, path, stored)
-    return (rows if before is None else rows.where(F.col("batch_id") < before)).drop("batch_id")
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All micro-batches that the ledger has."""
+    stored = T.StructType([*schema.fields, T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
+    entered = read_ledger(spark, path).select("run_id", "batch_id")
+    return read_or_empty(spark, path, stored).join(entered, ["run_id", "batch_id"], "left_semi").drop("run_id", "batch_id")
