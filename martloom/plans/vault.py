@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import hash_diff, hash_key, uuid5
 from martloom.operators.columns import inviter_on_add, messages_with_payload, stamp
 from martloom.operators.merge import new_rows
-from martloom.operators.windows import latest_per_key
+from martloom.operators.windows import changes, latest_per_key
 
 
 def load_hub(
@@ -88,9 +89,29 @@ def _only_new(rows: DataFrame, existing: DataFrame | None, keys: Sequence[str])
 
 def social_vault(
     users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame,
-    load_dt: dt.datetime | None = None, algo: str = "xxhash64",
+    load_dt: dt.datetime | None = None, algo: str = "xxhash64", existing: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """Hubs, links and satellites of users, groups, messages and group membership.
+
+    With ``existing``, the tables so far, only what they lack is returned: new keys, states other than the parent's last one,
+    and membership events that are not there.
+    """
+    tables = _social_vault(users, groups, dialogs, group_log, load_dt, algo)
+    return tables if existing is None else {name: _not_stored(name, rows, existing[name]) for name, rows in tables.items()}
+
+
+def _not_stored(name: str, rows: DataFrame, stored: DataFrame) -> DataFrame:
+    key = rows.columns[0]
+    if "hashdiff" in rows.columns:
+        return changed_states(rows, stored, key, "load_dt", "hashdiff")
+    # Membership events and administrators are rows of their own; hubs and links go by their key.
+    row = [c for c in rows.columns if c not in ("load_dt", "load_src")] if name.startswith("s_") else [key]
+    return rows.join(stored.select(*row).distinct(), reduce(lambda a, b: a & b, [rows[c].eqNullSafe(stored[c]) for c in row]), "left_anti")
+
+
+def _social_vault(
+    users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame, load_dt: dt.datetime | None, algo: str,
 ) -> dict[str, DataFrame]:
-    """Hubs, links and satellites of users, groups, messages and group membership."""
     src, log_src = "s3", "group_log"
     h_users = load_hub(users, "id", "hk_user_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="user_id")
     h_groups = load_hub(groups, "id", "hk_group_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="group_id")
@@ -148,7 +169,10 @@ def auth_history(
     return stamp(events.join(known, "hk_l_user_group_activity", "left_semi"), load_src, load_dt)
 
 
-# Table -> its key columns. A satellite is unique by parent and fingerprint.
+# When a satellite's state was sent; null before every other time.
+STATE_TIME = "state_dt"
+
+# Table -> its key columns. A satellite has the chain of its parent's states, a fingerprint for each.
 ORDER_VAULT_KEYS = {
     "h_user": ["h_user_pk"],
     "h_restaurant": ["h_restaurant_pk"],
@@ -173,8 +197,9 @@ def _hub_pk(entity: str, column: Column) -> Column:
 
 def keyed_orders(messages: DataFrame) -> DataFrame:
     """Order messages that carry a payload, flattened, with their hub keys."""
-    p = messages_with_payload(messages).select("payload.*")
+    p = messages_with_payload(messages).select("sent_dttm", "payload.*")
     flat = p.select(
+        F.try_to_timestamp("sent_dttm").alias(STATE_TIME),
         F.col("id").alias("order_id"), F.col("date").alias("order_dt"), "cost", "payment", "status",
         F.col("user.id").alias("user_id"), F.col("user.name").alias("username"),
         F.coalesce("user.login", "user.id").alias("userlogin"),
@@ -194,7 +219,7 @@ def order_lines(orders: DataFrame) -> DataFrame:
         _hub_pk("product", F.col("product.id")), _hub_pk("category", F.col("product.category")),
         F.col("product.id").alias("product_id"), F.col("product.name").alias("product_name"),
         F.col("product.category").alias("category_name"), F.coalesce("product.quantity", F.lit(1)).alias("quantity"),
-        "h_order_pk", "h_user_pk", "h_restaurant_pk",
+        "h_order_pk", "h_user_pk", "h_restaurant_pk", STATE_TIME,
     )
 
 
@@ -208,22 +233,27 @@ def _link(rows: DataFrame, name: str, left: str, right: str) -> DataFrame:
 
 
 def _states(rows: DataFrame, table: str, parent: str, /, **attrs: str) -> DataFrame:
-    states = rows.select(parent, *[F.col(c).alias(n) for n, c in attrs.items()]).where(F.col(parent).isNotNull()).distinct()
+    states = rows.select(parent, *[F.col(c).alias(n) for n, c in attrs.items()], STATE_TIME).where(F.col(parent).isNotNull()).distinct()
     return states.withColumn(f"hk_{table}_hashdiff", hash_diff(*[F.col(n) for n in attrs]))
 
 
 def order_vault(
     messages: DataFrame, load_src: str, load_dt: dt.datetime | None = None
 ) -> dict[str, DataFrame]:
-    """Five hubs, four links and five satellites of a batch of order messages, each row once."""
+    """Five hubs, four links and five satellites of a batch of order messages: each key once, and every change of a state."""
     orders = keyed_orders(messages)
-    return order_vault_tables(orders, order_lines(orders), load_src, load_dt)
+    tables = order_vault_tables(orders, order_lines(orders), load_src, load_dt)
+    chained = {}
+    for name, rows in tables.items():
+        parent, *fingerprint = ORDER_VAULT_KEYS[name]
+        chained[name] = changes(rows, [parent], STATE_TIME, fingerprint[0], fingerprint[0], "day") if fingerprint else rows
+    return chained
 
 
 def order_vault_tables(
     orders: DataFrame, lines: DataFrame, load_src: str, load_dt: dt.datetime | None = None
 ) -> dict[str, DataFrame]:
-    """The vault tables of keyed orders and their lines."""
+    """The vault tables of keyed orders and their lines; satellites hold every state with its time, repeated or not."""
     tables = {
         "h_user": _hub(orders, "h_user_pk", "user_id"),
         "h_restaurant": _hub(orders, "h_restaurant_pk", "restaurant_id"),

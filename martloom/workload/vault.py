@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from martloom.functions.keys import hash_diff
 from martloom.plans import counters, social, vault
-from martloom.session import work_dir
+from martloom.session import materialise, work_dir
+from martloom.streaming.order_vault import new_states, read_vault, vault_sink
 from martloom.workload import adapters as a
 
 _LOADED = dt.datetime(2024, 2, 1)
@@ -126,22 +127,47 @@ def order_vault_costs(spark, sf):
 
 
 def order_vault_files(spark, sf):
-    """The whole vault written twice by the loader; the second run must add nothing."""
-    from martloom.streaming.order_vault import vault_sink
-
+    """The whole vault written twice by the loader, as two batches; the second must add nothing."""
     base, messages = work_dir(spark, "vault"), a.order_messages(spark, sf)
-    load = vault_sink(base, "orders", _LOADED)
+    load = vault_sink(base, "orders", _LOADED, run="files")
     for batch_id in (0, 1):
         load(messages, batch_id)
-    return _table_sizes(spark, base)
+    return vault_rows(spark, base)
 
 
-def _table_sizes(spark, base):
+def vault_rows(spark, base):
+    """Every row of the fourteen tables: name, key, two further columns (keys, names or values), fingerprint."""
     out = None
     for name in vault.ORDER_VAULT_KEYS:
-        rows = spark.read.parquet(f"{base}/{name}")
-        sized = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-        out = sized if out is None else out.unionByName(sized)
+        rows = read_vault(spark, base, name)
+        plain = [c for c in rows.columns[1:] if c not in ("load_dt", "load_src", vault.STATE_TIME) and not c.endswith("_hashdiff")]
+        diff = [c for c in rows.columns if c.endswith("_hashdiff")]
+        shown = [F.col(c).cast("string") for c in (rows.columns[0], *plain)] + [F.lit(None).cast("string")] * (2 - len(plain))
+        named = rows.select(F.lit(name).alias("name"), *[c.alias(n) for c, n in zip(shown, ("pk", "a", "b"))], (F.col(diff[0]) if diff else F.lit(None).cast("string")).alias("diff"))
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
+def satellite_returns(spark, sf):
+    """Chains of event types by user, loaded in two batches of time: every change is a state, returns included."""
+    events = a.table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias(vault.STATE_TIME))
+    states = events.distinct().withColumn("fingerprint", F.concat("event_type", F.lit("")))
+    cut = F.lit("2024-01-12").cast("timestamp")
+    stored = materialise(new_states(states.limit(0), states.where(F.col(vault.STATE_TIME) < cut), "user_id", "fingerprint"), "chains")
+    # The second batch brings the last day before the cut again.
+    fresh = new_states(stored, states.where(F.col(vault.STATE_TIME) >= F.date_sub(cut, 1)), "user_id", "fingerprint")
+    return stored.unionByName(fresh).select("user_id", "event_type", F.date_format(vault.STATE_TIME, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since"))
+
+
+def social_vault_twice(spark, sf):
+    """What a second load of the same social tables adds to the first: nothing, and one row for every renamed group."""
+    tables = {name: materialise(rows, name) for name, rows in _social(spark, sf).items()}
+    groups = a.social_groups(spark, sf).withColumn("group_name", F.when(F.col("id") % 2 == 0, F.concat("group_name", F.lit("!"))).otherwise(F.col("group_name")))
+    again = vault.social_vault(a.social_users(spark, sf), groups, a.dialogs(spark, sf), a.group_log(spark, sf), _LOADED, _ALGO, existing=tables)
+    counts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in again.items()]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
     return out
 
 
@@ -161,7 +187,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hub_load, link_load, satellite_load, hashdiff_changes, auth_history, social_satellites, users_with_messages,
-        added_users, group_conversion, order_vault_hubs, order_vault_links, order_vault_costs, order_vault_files,
+        added_users, group_conversion, order_vault_hubs, order_vault_links, order_vault_costs, order_vault_files, satellite_returns, social_vault_twice,
         user_product_counters, user_category_counters,
     )
 }
@@ -180,21 +206,26 @@ added AS (
 writing AS (SELECT group_id, count(DISTINCT user_id) AS cnt_users_in_group_with_messages FROM logged WHERE event_type = 'view' GROUP BY group_id)"""
 
 _LINES = f"WITH {a.ORDER_LINES_SQL.strip()}"
-_SIZES = f"""{_LINES}, o AS (SELECT DISTINCT l_orderkey, o_custkey, cost, o_orderstatus FROM lines)
-      SELECT 'h_user' AS name, count(DISTINCT o_custkey) AS n FROM o
-      UNION ALL SELECT 'h_restaurant', count(DISTINCT l_suppkey) FROM lines
-      UNION ALL SELECT 'h_order', count(*) FROM o
-      UNION ALL SELECT 'h_product', count(DISTINCT l_partkey) FROM lines
-      UNION ALL SELECT 'h_category', count(DISTINCT p_brand) FROM lines
-      UNION ALL SELECT 'l_order_product', count(DISTINCT (l_orderkey, l_partkey)) FROM lines
-      UNION ALL SELECT 'l_order_user', count(*) FROM o
-      UNION ALL SELECT 'l_product_category', count(DISTINCT (l_partkey, p_brand)) FROM lines
-      UNION ALL SELECT 'l_product_restaurant', count(DISTINCT (l_partkey, l_suppkey)) FROM lines
-      UNION ALL SELECT 's_order_cost', count(*) FROM o
-      UNION ALL SELECT 's_order_status', count(*) FROM o
-      UNION ALL SELECT 's_user_names', count(DISTINCT o_custkey) FROM o
-      UNION ALL SELECT 's_product_names', count(DISTINCT l_partkey) FROM lines
-      UNION ALL SELECT 's_restaurant_names', count(DISTINCT l_suppkey) FROM lines"""
+_VAULT_ROWS = f"""{_LINES}, n AS (
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS o, CAST(l_partkey AS VARCHAR) AS p, CAST(l_suppkey AS VARCHAR) AS r, CAST(o_custkey AS VARCHAR) AS u, p_brand AS c, p_name, cost,
+               CASE o_orderstatus WHEN 'F' THEN 'CLOSED' ELSE 'OPEN' END AS status, strftime(o_orderdate, '%Y-%m-%d') AS day FROM lines),
+      k AS (SELECT *, {_pk('order', 'o')} AS ok, {_pk('product', 'p')} AS pk, {_pk('restaurant', 'r')} AS rk, {_pk('user', 'u')} AS uk, {_pk('category', 'c')} AS ck FROM n),
+      rows AS (
+        SELECT DISTINCT 'h_user' AS name, uk AS pk, u AS a, NULL AS b, NULL AS diff FROM k
+        UNION SELECT 'h_restaurant', rk, r, NULL, NULL FROM k
+        UNION SELECT 'h_order', ok, o, day, NULL FROM k
+        UNION SELECT 'h_product', pk, p, NULL, NULL FROM k
+        UNION SELECT 'h_category', ck, c, NULL, NULL FROM k
+        UNION SELECT 'l_order_product', {_U("('l_order_product_' || ok || '_' || pk)")}, ok, pk, NULL FROM k
+        UNION SELECT 'l_order_user', {_U("('l_order_user_' || ok || '_' || uk)")}, ok, uk, NULL FROM k
+        UNION SELECT 'l_product_category', {_U("('l_product_category_' || pk || '_' || ck)")}, pk, ck, NULL FROM k
+        UNION SELECT 'l_product_restaurant', {_U("('l_product_restaurant_' || pk || '_' || rk)")}, pk, rk, NULL FROM k
+        UNION SELECT 's_order_cost', ok, cost, cost, {_U("sha256(cost || '|' || cost)")} FROM k
+        UNION SELECT 's_order_status', ok, status, NULL, {_U("sha256(status)")} FROM k
+        UNION SELECT 's_user_names', uk, 'User ' || u, u, {_U("sha256('User ' || u || '|' || u)")} FROM k
+        UNION SELECT 's_product_names', pk, p_name, NULL, {_U("sha256(p_name)")} FROM k
+        UNION SELECT 's_restaurant_names', rk, 'Kitchen ' || r, NULL, {_U("sha256('Kitchen ' || r)")} FROM k)
+      SELECT * FROM rows"""
 
 _PRODUCT_COUNTERS = f"""{_LINES},
       counted AS (SELECT o_custkey, l_partkey, max(p_name) AS p_name, count(*) AS n FROM lines GROUP BY ALL)
@@ -242,7 +273,15 @@ ORACLE = {
       SELECT {_U("('l_order_product_' || h_order_pk || '_' || h_product_pk)")} AS hk_order_product_pk, h_order_pk, h_product_pk FROM p""",
     "order_vault_costs": f"""{_LINES}, o AS (SELECT DISTINCT l_orderkey, cost FROM lines)
       SELECT {_pk('order', 'l_orderkey')} AS h_order_pk, cost, cost AS payment, {_U("sha256(cost || '|' || cost)")} AS hk_order_cost_hashdiff FROM o""",
-    "order_vault_files": _SIZES,
+    "order_vault_files": _VAULT_ROWS,
+    "satellite_returns": """WITH e AS (SELECT DISTINCT user_id, event_type, ts FROM events)
+      SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS since FROM e
+      QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type)
+           OR row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) = 1""",
+    "social_vault_twice": f"""WITH {a.SOCIAL_SQL.strip()}
+      SELECT name, CASE WHEN name = 's_group_name' THEN (SELECT count(DISTINCT group_id) FROM logged WHERE group_id % 2 = 0) ELSE 0 END AS n
+      FROM (VALUES ('h_users'), ('h_groups'), ('h_dialogs'), ('l_user_message'), ('l_groups_dialogs'), ('l_admins'), ('l_user_group_activity'), ('s_admins'),
+        ('s_user_chatinfo'), ('s_user_socdem'), ('s_group_private_status'), ('s_group_name'), ('s_dialog_info'), ('s_auth_history')) t(name)""",
     "user_product_counters": _PRODUCT_COUNTERS,
     "user_category_counters": _CATEGORY_COUNTERS,
 }

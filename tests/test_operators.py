@@ -204,3 +204,17 @@ def test_exclude_pairs_in_both_directions(spark, rows):
     found = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
     talked = spark.createDataFrame([(2, 1), (1, 3), (1, 3)], "a long, b long")
     assert rows(pairs.exclude_pairs(found, talked, "a", "b")) == [(2, 3)]
+
+
+def test_changes_of_a_value_over_slices(spark):
+    import random
+
+    rng = random.Random(2)
+    data = [(rng.choice("ab"), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randint(0, 600)), i, rng.choice([None, "x", "y"])) for i in range(300)] + [(None, None, 900, "x"), ("a", None, 901, "x")]
+    found = windows.changes(spark.createDataFrame(data, "k string, ts timestamp, id int, v string"), ["k"], "ts", "id", "v")
+    wanted, last = [], {}
+    for k, ts, i, v in sorted(data, key=lambda r: (r[1] is not None, r[1] or dt.datetime(1, 1, 1), r[2])):
+        if k not in last or last[k] != v:
+            wanted.append(i)
+        last[k] = v
+    assert sorted(r.id for r in found.collect()) == sorted(wanted)
