@@ -48,6 +48,11 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns named c0, c1 and so on: whatever their own names, with dots or like those of an operator's columns, they meet none of its."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def map_texts(df: DataFrame, text: str, schema: str, make: Callable[[], Callable[[Columns], Columns]]) -> DataFrame:
     """Arrow-batched map. ``make`` runs once in each task and returns the step from columns to columns."""
     on_workers(df.sparkSession)
@@ -100,7 +105,3 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     centres = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         centres.select("node", F.col("node").alias("component")))
-
-
-def deduplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropDuplicates(list(keys))

@@ -6,7 +6,8 @@ hash. Texts that share a fingerprint with the benchmark are suspects; their wind
 items' as strings, and hits are extended to the words they cover. Items of fewer words than the window are found by
 the hash of their whole length. Fingerprints are of texts, not of documents, so copies meet the benchmark once.
 
-Null texts and items have no words. Rows of a repeated id stay separate rows.
+Null texts and items have no words. Rows of a repeated id stay separate rows. An item without an id is one whose id is empty
+text: its windows hit like any other's.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("t1"), F.hash(F.col(text)).alias("t2"))
     split = texts.select("key", "t1", "t2", words("text").alias("words"))
-    items = materialise(benchmark.select(F.col(item).cast("string").alias("item"), words(item_text).alias("words")).where(F.size("words") > 0), "benchmark-words")
+    items = materialise(benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), words(item_text).alias("words")).where(F.size("words") > 0), "benchmark-words")
     short = [r[0] for r in items.where(F.size("words") < window).select(F.size("words")).distinct().collect()]  # fewer than ``window`` values
     found = None
     for width in [*sorted(short), window]:
@@ -71,7 +72,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         # Written, so that its size is known before the join below is planned: texts are only dealt out where it is large.
         suspects = materialise(met.select("t1", "t2").distinct(), "benchmark-suspects")
         targets = materialise(_windows(own, width).select("window", "item").distinct(), "benchmark-windows")
-        some = texts.join(suspects, ["t1", "t2"], "left_semi").select("t1", "t2", words("text").alias("words"))
+        # One of all copies of a text.
+        some = texts.join(suspects, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(F.first("text").alias("text")).select("t1", "t2", words("text").alias("words"))
         hits = _windows(some, width).join(targets, "window").select("t1", "t2", "place", F.lit(width).alias("width"), "item")
         found = hits if found is None else found.unionByName(hits)
     hit = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("place", "width")).alias("spans"), F.collect_set("item").alias("items"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import components, map_texts, on_workers, slices
+from martloom.llm.common import components, map_texts, on_workers, slices, numbered
 from martloom.llm.grams import Words, follow, mix, pack, planes, shard_ends, text_bytes, tokens, unpack, unplanes
 from martloom.session import materialise
 
@@ -314,9 +314,8 @@ def first_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rows that are equal in all columns, key included, one stays, unless they have neither key nor words.
     """
     on_workers(docs.sparkSession)
-    mark = "row"
-    while mark in docs.columns:
-        mark += "_"
+    names, mark = docs.columns, "row"
+    docs, key, text = numbered(docs), f"c{names.index(key)}", f"c{names.index(text)}"
     # Maps have no hash and are hashed as JSON.
     columns = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
     order = F.struct(
@@ -334,4 +333,4 @@ def first_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     first = materialise(placed.select(*[F.col(f"first.{h}").alias(k) for h, k in zip(hashes, keys)]).distinct(), "jaccard-first")
     kept = flat.where(worded).join(first, keys, "left_semi").dropDuplicates([key, *keys])
     kept = kept.unionByName(flat.where(~worded & F.col(key).isNotNull()).dropDuplicates([key, *keys]))
-    return kept.drop(mark, *keys).unionByName(docs.where(~worded & F.col(key).isNull()))
+    return kept.drop(mark, *keys).unionByName(docs.where(~worded & F.col(key).isNull())).toDF(*names)

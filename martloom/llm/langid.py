@@ -9,9 +9,8 @@ nothing was learned.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from martloom.llm.common import map_texts, remainder
 
 #: Cells of hashed n-grams, rounds of EM, and the likelihood that another language must add, in nats per log(n-grams).
 CELLS, ROUNDS, PENALTY = 1 << 15, 10, 8.0
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _cells(text: str) -> np.ndarray:
@@ -56,14 +55,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
 
 
 def _mixtures(chances: np.ndarray, weight: np.ndarray, starts: np.ndarray, doc: np.ndarray, allowed: np.ndarray):
-    """EM over many documents at once: (proportions, log-likelihoods). ``allowed``: languages of each document."""
+    """EM over many documents at once: (proportions, log-likelihoods, bounds on the likelihood of any proportions of all
+    languages). ``allowed``: languages of each document."""
     share = allowed / allowed.sum(axis=1, keepdims=True)
     total = np.add.reduceat(weight, starts)[:, None]
     for _ in range(ROUNDS):
         part = chances * share[doc]
         part *= (weight / np.maximum(part.sum(axis=1), 1e-300))[:, None]
         share = np.add.reduceat(part, starts) / total
-    return share, np.add.reduceat(weight * np.log(np.maximum((chances * share[doc]).sum(axis=1), 1e-300)), starts)
+    mixed = np.maximum((chances * share[doc]).sum(axis=1), 1e-300)
+    like = np.add.reduceat(weight * np.log(mixed), starts)
+    # The likelihood is concave in the proportions: no others exceed this one by more than its steepest slope less the n-grams.
+    slopes = np.add.reduceat(chances * (weight / mixed)[:, None], starts)
+    return share, like, like + np.maximum(slopes.max(axis=1) - total[:, 0], 0)
 
 
 def infer(texts: list[str], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,9 +85,9 @@ def infer(texts: list[str], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     chosen[np.arange(len(texts)), alone.argmax(axis=1)] = 1
     result = chosen.copy()
     if k > 1:
-        share, full = _mixtures(chances, weight, starts, doc, np.ones((len(texts), k)))
+        share, _, most = _mixtures(chances, weight, starts, doc, np.ones((len(texts), k)))
         order = np.argsort(-share, axis=1)
-        open_ = np.flatnonzero(full + base - cost > best)  # no smaller set can gain more than all languages together
+        open_ = np.flatnonzero(most + base - cost > best)  # no set of two or more can gain more than this
         score = best.copy()
         if len(open_):
             keep = np.isin(doc, open_)
@@ -93,7 +97,7 @@ def infer(texts: list[str], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             for m in range(2, k + 1):
                 allowed = np.zeros((len(open_), k))
                 np.put_along_axis(allowed, order[open_, :m], 1, axis=1)
-                share_m, like = _mixtures(chances[keep], weight[keep], sub_starts, sub_doc, allowed)
+                share_m, like, _ = _mixtures(chances[keep], weight[keep], sub_starts, sub_doc, allowed)
                 value = like + base[open_] - (m - 1) * cost[open_]
                 better = value > score[open_]
                 rows_ = open_[better]

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_texts
+from martloom.llm.common import map_texts, numbered
 
 KINDS = ("assign", "access", "hex", "markov")
 _ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -271,14 +271,15 @@ def mask_text(text: str | None, spans: list[tuple[int, int, int]], mask: str) ->
 def redact(docs: DataFrame, model: np.ndarray, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by a mask; all columns stay, in order."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    rows, column = numbered(docs), f"c{docs.columns.index(text)}"
 
     def make():
         m = sent.value
 
         def step(c):
-            c[text] = [mask_text(t, find(t, m), mask) for t in c[text]]
+            c[column] = [mask_text(t, find(t, m), mask) for t in c[column]]
             return c
 
         return step
 
-    return map_texts(docs, text, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), make)
+    return map_texts(rows, column, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema), make).toDF(*docs.columns)

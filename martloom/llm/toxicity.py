@@ -2,7 +2,8 @@
 
 Three small transducers are composed over the words of each clause. The first rewrites words to weighted classes
 (insult, threat, target, negation, reported speech) by whole words and by word beginnings. The second carries negation
-for a few words and reported speech to the end of the clause, and scales what it passes. The third emits a match for an
+for a few words and reported speech to the end of the clause, over a colon into the next clause and through a quotation
+that begins there to its end, and scales what it passes. The third emits a match for an
 insult or a threat, stronger with a target in the clause; a threat without one hardly counts. A document's clause
 matches give a few totals, and a logistic model turns them into a score.
 
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_texts, remainder
+from martloom.llm.common import map_texts, numbered, remainder, slices
 from martloom.session import materialise
 
 #: Labelled rows that the classifier is fitted on at most, and candidate patterns considered.
@@ -44,7 +45,8 @@ NEGATIONS = "not never no nobody nicht kein keine keinen nie pas jamais aucun nu
 REPORTS = "said says say wrote quoted called reported sagte schrieb zitierte dit écrit cité dijo escribió citó".split()
 
 _WORD = re.compile(r"\w+")
-_TOKEN = re.compile(r"\w+|[.!?;:\n]+")
+_TOKEN = re.compile(r"\w+|[.!?;:\n\"“”„«»]+")
+_QUOTES = frozenset("\"“”„«»")
 INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
 #: Words that a negation reaches, and what is left of a match that is negated or reported.
 REACH, NEGATED, REPORTED = 3, 0.4, 0.5
@@ -79,10 +81,10 @@ class Grammar:
             found = self._known[word] = found or (0, 0.0)
         return found
 
-    def clause(self, classes: list[tuple[int, float]]) -> tuple[float, float, float]:
-        """(insult score, threat score, weight taken away by negation and report) of one clause."""
+    def clause(self, classes: list[tuple[int, float]], reported: bool = False) -> tuple[float, float, float]:
+        """(insult score, threat score, weight taken away by negation and report) of one clause, which may begin in reported speech."""
         aimed = any(kind == TARGET for kind, _ in classes)
-        negation, reported = 0, False  # state of the context transducer
+        negation = 0  # with ``reported``, the state of the context transducer
         insult = threat = lost = 0.0
         for kind, weight in classes:
             if kind == NEGATION:
@@ -99,19 +101,32 @@ class Grammar:
             negation = max(0, negation - 1)
         return insult, threat, lost
 
+    def clauses(self, text: str) -> list[tuple[list[tuple[int, float]], bool]]:
+        """The classified clauses of a text, and whether each begins in reported speech."""
+        found: list[tuple[list[tuple[int, float]], bool]] = [([], False)]
+        quoted = False  # inside a quotation that a report introduced
+        for token in _TOKEN.findall(text.lower()):
+            if token[0] not in ".!?;:\n\"“”„«»":
+                found[-1][0].append(self.classify(token))
+                continue
+            classes, reported = found[-1]
+            said = any(kind == REPORT for kind, _ in classes)
+            quotes = not _QUOTES.isdisjoint(token)
+            if quotes:
+                quoted = not quoted and said
+                if token in _QUOTES and not (said or reported):
+                    continue  # a quoted word or two inside a clause
+            carried = quoted or (said and token[0] == ":") or (reported and not classes)
+            found.append(([], carried))
+        return found
+
     def features(self, text: str | None) -> list[float]:
         """Totals over the clauses of a text, with a leading 1; null text has no clause."""
         words = _WORD.findall(text.lower()) if text else []
         different = sum(self.classify(w)[0] in (INSULT, THREAT) for w in set(words))
         if not different:
             return [1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]
-        clauses: list[list[tuple[int, float]]] = [[]]
-        for token in _TOKEN.findall(text.lower()):
-            if token[0] in ".!?;:\n":
-                clauses.append([])
-            else:
-                clauses[-1].append(self.classify(token))
-        scores = [self.clause(c) for c in clauses if any(k in (INSULT, THREAT) for k, _ in c)]
+        scores = [self.clause(c, reported) for c, reported in self.clauses(text) if any(k in (INSULT, THREAT) for k, _ in c)]
         insult, threat, lost = (sum(s[i] for s in scores) for i in range(3))
         return [
             1.0, math.log1p(insult), max(s[0] + s[1] for s in scores), math.log1p(len(scores)),
@@ -151,12 +166,15 @@ def _fit_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and toxic is not null").where(remainder("doc_id", 4) != 2)
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+    # Of the rows of one id, and of near copies, the text of the least hash: the same in every run, and no more rows than ids.
+    least = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(least).select("label", "text")
 
     def make():
         return lambda c: {"label": c["label"], "text": c["text"], "signature": [_signature(t) for t in c["text"]]}
 
-    return materialise(map_texts(rows, "text", "label int, text string, signature long", make).dropDuplicates(["label", "signature"]).select("label", "text"), "toxicity-sample")
+    signed = map_texts(rows, "text", "label int, text string, signature long", make)
+    return materialise(signed.groupBy("label", "signature").agg(least).select("label", "text").orderBy(F.xxhash64("text"), "text"), "toxicity-sample")
 
 
 def _candidates(rows: DataFrame) -> list[tuple[str, int, int]]:
@@ -275,13 +293,14 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, all columns kept; the score decides row by row."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    rows, text = numbered(docs), docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa
 
         m = sent.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([m.score(t) < THRESHOLD for t in texts], pa.bool_()))
+            for part in slices(batch, f"c{text}"):
+                yield part.filter(pa.array([m.score(t) < THRESHOLD for t in part.column(text).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
