@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from martloom.llm.common import on_workers, table
+from martloom.llm.common import numbered, on_workers, table
 from martloom.llm.queries import VOCABULARY
 from martloom.session import materialise
 
@@ -35,13 +35,12 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in 20 lies in a benchmark window; decided by text, so with or without an id."""
-    mark = "text_key"
-    while mark in docs.columns:
-        mark += "_"
-    keyed = docs.withColumn(mark, F.struct(F.xxhash64("text").alias("t1"), F.hash("text").alias("t2")))
-    marked = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), key=mark)
-    bad = materialise(marked.where("contaminated").select(mark).distinct(), "contaminated")
-    return keyed.join(bad, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names, text = docs.columns, f"c{docs.columns.index('text')}"
+    rows = numbered(docs)
+    keyed = rows.withColumn("text_key", F.struct(F.xxhash64(text).alias("t1"), F.hash(text).alias("t2")))
+    marked = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), key="text_key", text=text)
+    bad = materialise(marked.where("contaminated").select("text_key").distinct(), "contaminated")
+    return keyed.join(bad, "text_key", "left_anti").select(*rows.columns).toDF(*names)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +67,7 @@ STAGES = [
     ("encoding", encoded),
 ]
 
-#: No SQL: two stages apply learned models and one a tokenizer; tests hold run() against a brute-force version.
+#: No SQL: two stages apply learned models and one a tokenizer; tests hold run() against a plain version of every stage.
 ORACLE_SQL = None
 
 
