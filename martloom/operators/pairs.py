@@ -11,7 +11,7 @@ from martloom.functions.geo import haversine_km, neighbour_cells, sphere_cell, u
 from martloom.operators.sets import unordered_pairs
 from martloom.session import materialise
 
-# Members of one (group, cell) handled by one task before the cell is split.
+# Members of one (group, cell) before the cell is cut into blocks.
 ROWS_PER_SPLIT = 20_000
 
 
@@ -30,8 +30,9 @@ def close_pairs(
 
     The distance is part of the join: members meet only inside neighbouring cells of a sphere grid,
     never across a whole group. One side is copied to half of its neighbourhood, so every pair of cells
-    is met once. A crowded (group, cell) is cut into splits by a hash of the member: each split of one
-    side meets a copy of the other, so the pairs of a hot cell are spread over tasks and none is lost.
+    is met once. A crowded (group, cell) is cut into k x k blocks: a member of the left side has one of k rows by its hash and is
+    copied to all columns, one of the right side has a column and is copied to all rows, so each pair meets in one block, the
+    pairs of a hot cell are spread over tasks, and the copies of a member grow as the root of the cell's size.
     The placed members are written once, as three branches of the plan read them.
     """
     own = list(dict.fromkeys((member, lat, lon, *carry)))
@@ -48,28 +49,26 @@ def close_pairs(
         placed.groupBy(*at)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > rows_per_split)
-        .select(*at, F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias("_splits"))
+        .select(*at, F.ceil(F.sqrt(F.col("_n") / F.lit(rows_per_split))).cast("int").alias("_splits"))
     )
     splits = F.coalesce(F.col("_splits"), F.lit(1))
-    left = (
-        placed.join(crowded, at, "left")
-        .withColumn("_split", F.pmod(F.xxhash64(member), splits).cast("int"))
-        .drop("_splits")
-    )
+    one, every = F.pmod(F.xxhash64(member), splits).cast("int"), F.explode(F.sequence(F.lit(0), splits - 1))
+    left = placed.join(crowded, at, "left").withColumn("_row", one).withColumn("_column", every).drop("_splits")
     right = (
         placed.withColumn("_near", F.explode(neighbour_cells(F.col("_cell"), km, half=True)))
         .withColumn("_own", F.col("_near.own"))
         .withColumn("_cell", F.struct("_near.x", "_near.y", "_near.z"))
         .drop("_near")
         .join(crowded, at, "left")
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), splits - 1)))
+        .withColumn("_column", one)
+        .withColumn("_row", every)
         .drop("_splits")
     )
-    a = left.select(*at, "_split", *[F.col(c).alias("a_" + c) for c in own])
-    b = right.select(*at, "_split", "_own", *[F.col(c).alias("b_" + c) for c in own])
+    a = left.select(*at, "_row", "_column", *[F.col(c).alias("a_" + c) for c in own])
+    b = right.select(*at, "_row", "_column", "_own", *[F.col(c).alias("b_" + c) for c in own])
     distance = haversine_km(F.col("a_" + lat), F.col("a_" + lon), F.col("b_" + lat), F.col("b_" + lon))
     once = (F.col("a_" + member) != F.col("b_" + member)) & (~F.col("_own") | (F.col("a_" + member) < F.col("b_" + member)))
-    met = a.join(b, [*at, "_split"]).where(once & (distance <= km))
+    met = a.join(b, [*at, "_row", "_column"]).where(once & (distance <= km))
     a_first = F.col("a_" + member) < F.col("b_" + member)
     sides = []
     for name in (member, *carry):

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.session import materialise
+
 
 def _columns(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -39,29 +41,22 @@ def running_count(df: DataFrame, keys: Sequence[str], order_by: str, name: str)
     return df.withColumn(name, F.count("*").over(Window.partitionBy(*keys).orderBy(order_by)))
 
 
-def numbered_steps(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str, slice_by: str = "hour"
-) -> DataFrame:
+def numbered_steps(df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str, ranges: int | None = None) -> DataFrame:
     """Position of every row within its key in time order, without sorting a whole key in one task.
 
-    Rows are numbered inside (key, time slice); the slice counts, one small row per slice, give
-    the offset of each slice. A hot key is therefore sorted slice by slice, in parallel.
+    Rows are dealt by sampled bounds of (key, time, tie) into ranges of like size, whatever the keys hold, and written. Each
+    range is numbered by itself; the counts of (key, range), one small row each, give the offset of a key's later ranges.
+    A key with most of the rows, even at one hour, spreads over ranges.
     """
-    sliced = df.withColumn("_slice", F.date_trunc(slice_by, F.col(ts)))
-    within = Window.partitionBy(*keys, "_slice").orderBy(ts, tie)
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    ranked = sliced.withColumn("_rank", F.row_number().over(within))
-    return (
-        ranked.join(offsets, [*keys, "_slice"])
-        .withColumn(name, F.col("_rank") + F.col("_offset"))
-        .drop("_slice", "_rank", "_offset")
-    )
+    order = [*keys, ts, tie]
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    dealt = materialise(dealt.withColumn("_range", F.spark_partition_id()), "steps")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    offsets = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_range") == F.col("_r")]
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(ts, tie)))
+    return ranked.join(offsets, same).select(*df.columns, (F.col("_rank") + F.col("_offset")).alias(name))
 
 
 def changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, slice_by: str = "hour") -> DataFrame:

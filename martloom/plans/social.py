@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.money import ratio
@@ -42,3 +42,10 @@ def group_conversion(added: DataFrame, writing: DataFrame) -> DataFrame:
         "hk_group_id", "cnt_added_users", active.alias("cnt_users_in_group_with_messages"),
         ratio(active, F.col("cnt_added_users")).alias("group_conversion"),
     )
+
+
+def ordered_conversion(mart: DataFrame) -> DataFrame:
+    """The conversion mart with the best group first; the place of groups of one conversion goes by their key."""
+    order = [F.col("group_conversion").desc(), F.col("hk_group_id")]
+    # As many rows as groups, which the caller has bounded.
+    return mart.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy(*order)

@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.columns import between_dates
-from martloom.session import materialise
-
-_BUCKET = "key_bucket"
-#: Beside the partitions; the leading underscore keeps it out of reads of the table.
-_BUCKETS = "_buckets"
-
+from martloom.sources.buckets import MAX_ROWS, BucketTable
 
 def write_mart(df: DataFrame, path: str) -> None:
     """Replace a mart: snappy Parquet."""
@@ -77,39 +72,19 @@ def merge_into(
     keys: Sequence[str],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     schema: T.StructType,
-    buckets: int = 64,
+    max_rows: int = MAX_ROWS,
 ) -> None:
-    """Merge a batch into a Parquet table, rewriting only the key buckets the batch touches.
+    """Merge a batch into a table of buckets, rewriting only the buckets the batch touches, in one commit.
 
-    ``merge(target, source)`` is one of the plans of ``operators.merge``. The table is partitioned by
-    a bucket of the key; the touched bucket numbers, at most ``buckets``, prune the read, and a
-    dynamic partition overwrite swaps in the rewritten buckets when the job commits. The batch is
-    cast to the table's schema, so one key has one bucket whatever type it came in, and written first, as it is read
-    twice. The number of buckets is kept beside the table, and a merge with another is refused, as are null keys.
+    ``merge(target, source)`` is one of the plans of ``operators.merge``. Buckets split as the table grows, so a batch of few
+    keys rewrites few buckets of bounded size; null keys are refused.
     """
-    stored = T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
-    known = read_or_empty(spark, f"{path}/{_BUCKETS}", "buckets int").first()
-    if known is not None and known[0] != buckets:
-        raise ValueError(f"{path} has {known[0]} buckets, not {buckets}")
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    batch = materialise(source.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in source.columns}), "batch")
-    no_key = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)).alias("no_key")
-    found = batch.select(bucket.alias("b"), no_key).distinct().collect()  # at most two rows for each bucket
-    if any(r.no_key for r in found):
-        raise ValueError(f"rows without a key {list(keys)} for {path}")
-    touched = [r.b for r in found]
-    if not touched:
-        return
-    if known is None:
-        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{_BUCKETS}")
-    target = read_or_empty(spark, path, stored).where(F.col(_BUCKET).isin(touched)).drop(_BUCKET)
-    write_partitioned(merge(target, batch).withColumn(_BUCKET, bucket), path, [_BUCKET])
+    BucketTable(spark, path, schema, keys, max_rows, filters=False).merge(source, merge)
 
 
 def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table written by ``merge_into``."""
-    stored = T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
-    return read_or_empty(spark, path, stored).drop(_BUCKET)
+    return BucketTable(spark, path, schema, []).read()
 
 
 #: Beside the batches; the leading underscore keeps it out of reads of the table.

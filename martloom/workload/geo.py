@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from martloom.functions.geo import haversine_km, km_to_degrees
 from martloom.functions.temporal import local_time
 from martloom.operators.spatial import box_join
-from martloom.operators.windows import running_count
-from martloom.plans import geo_log, profiles, recommendations, zones
+from martloom.operators.windows import numbered_steps, running_count
+from martloom.plans import geo_log, pipelines, profiles, recommendations, zones
+from martloom.session import work_dir
+from martloom.sources.files import land_events
 from martloom.workload import adapters as a
 
 MIN_DAYS = 2
@@ -85,6 +87,28 @@ def travel_steps(spark, sf):
     return profiles.travel_steps(_placed(spark, sf)).select("user_id", F.col("step").cast("long").alias("step"), "city")
 
 
+def travel_steps_hot(spark, sf):
+    """Every event numbered, with half of them moved to one user and one hour."""
+    hot = F.col("event_id") % 2 == 0
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") % 3600)
+    events = a.table(spark, sf, "events").select(
+        F.when(hot, 7).otherwise(F.col("user_id")).cast("long").alias("user_id"), "event_id", F.when(hot, at).otherwise(F.col("ts").cast("timestamp")).alias("at"))
+    return numbered_steps(events, ["user_id"], "at", "event_id", "step", ranges=16).select("user_id", "event_id", "step")
+
+
+def zone_run_files(spark, sf):
+    """The zone mart of a run over files: day folders of which some events are weeks older, landed with their time ranges."""
+    base = work_dir(spark, "zone-run")
+    log = a.geo_log(spark, sf).drop("event_id")
+    late = F.when(F.xxhash64("event") % 10 == 0, F.date_add("date", 45)).otherwise(F.col("date"))
+    land_events(log.withColumn("date", late), f"{base}/events")
+    a.cities(spark, sf).write.option("header", True).csv(f"{base}/cities")
+    run = pipelines.GeoRun(f"{base}/events", f"{base}/cities", f"{base}/marts", "2024-01-03", "2024-01-28")
+    pipelines.run_geo_marts(spark, run, ("zones",))
+    mart = spark.read.parquet(f"{base}/marts/user_activity_zones")
+    return mart.select("month", F.col("week").cast("long").alias("week"), F.col("zone_id").cast("long").alias("zone_id"), *mart.columns[3:])
+
+
 def user_profiles(spark, sf):
     mart = profiles.user_profiles(a.geo_log(spark, sf, True), a.cities(spark, sf), MIN_DAYS, time_as_text=True)
     return mart.withColumn("travel_array", F.array_join("travel_array", " > "))
@@ -130,7 +154,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         haversine_pairs, box_pairs, nearest_city, nearest_city_in_box, local_times, last_position, running_day_count,
-        home_city, travel_history, travel_steps, user_profiles, registrations, fill_positions, zone_activity,
+        home_city, travel_history, travel_steps, travel_steps_hot, user_profiles, registrations, fill_positions, zone_activity, zone_run_files,
         nearby_pairs, not_yet_talked, friend_recommendations,
     )
 }
@@ -213,6 +237,10 @@ ORACLE = {
       FROM (SELECT DISTINCT user_id, city, day FROM placed)""",
     "home_city": f"{_ALL_MESSAGES_PLACED} SELECT * FROM home",
     "travel_history": f"{_ALL_MESSAGES_PLACED} SELECT * FROM travel",
+    "travel_steps_hot": """WITH e AS (
+        SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 7 ELSE user_id END AS user_id,
+               CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-01' + to_seconds(event_id % 3600) ELSE ts END AS sent FROM events)
+      SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY sent, event_id) AS step FROM e""",
     "travel_steps": f"""{_ALL_MESSAGES_PLACED}
       SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS step, city FROM placed""",
     "user_profiles": f"""{_ALL_MESSAGES_PLACED}
@@ -229,6 +257,11 @@ ORACLE = {
              week_message, week_reaction, week_subscription, week_user,
              month_message, month_reaction, month_subscription, month_user
       FROM (SELECT DISTINCT zone_id, week, month FROM zoned_events) JOIN weekly USING (zone_id, week) JOIN monthly USING (zone_id, month)""",
+    "zone_run_files": f"""{_ZONES}
+      SELECT month, CAST(week AS BIGINT) AS week, CAST(zone_id AS BIGINT) AS zone_id,
+             week_message, week_reaction, week_subscription, week_user,
+             month_message, month_reaction, month_subscription, month_user
+      FROM (SELECT DISTINCT zone_id, week, month FROM zoned_events) JOIN weekly USING (zone_id, week) JOIN monthly USING (zone_id, month)""",
     "nearby_pairs": f"{_PAIRS} SELECT user_left, user_right FROM near",
     "not_yet_talked": f"{_PAIRS} SELECT user_left, user_right FROM fresh",
     "friend_recommendations": f"""{_PAIRS},

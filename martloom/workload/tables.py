@@ -6,6 +6,7 @@ import datetime as dt
 import functools
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.keys import hash_diff, hash_key
 from martloom.functions.money import ratio
@@ -15,7 +16,8 @@ from martloom.operators import aggregates, columns, lookups, merge, quality, set
 from martloom.operators.surrogate import surrogate_key
 from martloom.schemas import BONUS_DOC
 from martloom.session import work_dir
-from martloom.sources import sinks
+from martloom.sources import files, sinks
+from martloom.sources.buckets import BucketTable
 from martloom.sources.increments import WatermarkStore, incremental_load, read_increment
 from martloom.workload import adapters as a
 
@@ -72,10 +74,24 @@ def merge_into_files(spark, sf):
     base = _customers(spark, sf)
     for batch in (base, _changed(spark, sf)):
         plan = functools.partial(merge.merge_overwrite, keys=keys, update_cols=["c_acctbal"], order_by=["seq"] if "seq" in batch.columns else None)
-        sinks.merge_into(spark, path, batch, keys, lambda t, s, plan=plan: plan(t, s), base.schema, buckets=8)
+        sinks.merge_into(spark, path, batch, keys, lambda t, s, plan=plan: plan(t, s), base.schema, max_rows=200)
     return sinks.read_merged(spark, path, base.schema)
 
 
+def merge_many_batches(spark, sf):
+    """Orders merged in five batches that overlap, into buckets that split on the way; at last one order changes, in one bucket."""
+    orders = a.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.lit(0).cast("long").alias("version"))
+    keys, last = ["o_orderkey"], orders.agg(F.max("o_orderkey")).first()[0]
+    table = BucketTable(spark, work_dir(spark, "batches"), orders.schema, keys, max_rows=max(1, orders.count() // 20), filters=False)
+    for i in range(5):
+        part = orders.where((F.col("o_orderkey") % 7 <= i + 1) & (F.col("o_orderkey") % 7 >= i)).withColumn("version", F.lit(i + 1).cast("long"))
+        table.merge(part, functools.partial(merge.merge_overwrite, keys=keys))
+    before = table.manifest()
+    table.merge(orders.where(F.col("o_orderkey") == last).withColumn("version", F.lit(9).cast("long")), functools.partial(merge.merge_overwrite, keys=keys))
+    rewritten = len(set(before.buckets) - set(table.manifest().buckets))
+    return table.read().withColumns({"rewritten": F.lit(rewritten), "split": F.lit(len(before.buckets) >= 16)})
+
+
 def incremental_runs(spark, sf):
     """Three runs of one loader over a source that grows: half, all, and nothing new."""
     path = work_dir(spark, "increments")
@@ -83,7 +99,7 @@ def incremental_runs(spark, sf):
     half = orders.agg(F.max("o_orderkey")).first()[0] // 2
 
     def write(batch):
-        sinks.merge_into(spark, f"{path}/orders", batch, ["o_orderkey"], lambda t, s: merge.merge_overwrite(t, s, ["o_orderkey"]), orders.schema, buckets=8)
+        sinks.merge_into(spark, f"{path}/orders", batch, ["o_orderkey"], lambda t, s: merge.merge_overwrite(t, s, ["o_orderkey"]), orders.schema, max_rows=2_000)
 
     for source in (orders.where(F.col("o_orderkey") <= half), orders, orders):
         incremental_load(store, "orders", lambda source=source: source, "o_orderkey", write)
@@ -187,6 +203,21 @@ def clean_texts(spark, sf):
     return a.table(spark, sf, "documents").select("doc_id", F.length(cleaned).cast("long").alias("n"), F.md5(cleaned).alias("digest"))
 
 
+def dirty_csv_round_trip(spark, sf):
+    """Texts with line breaks, quotes and control bytes written as one quoted CSV file and read in many splits."""
+    path = work_dir(spark, "csv")
+    dirty = F.concat(F.lit('say "'), F.col("text"), F.lit('"\x01'), F.col("lang"), F.lit("\r\n"), F.col("source"))
+    rows = a.table(spark, sf, "documents").select("doc_id", dirty.alias("text"), "lang")
+    rows.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    # A session of its own reads in splits of a twentieth of the file.
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(size // 20 + 1))
+    schema = T.StructType().add("doc_id", "long").add("text", "string").add("lang", "string")
+    read = files.read_dirty_csv(reader, path, schema, "text")
+    return read.select("doc_id", "lang", F.char_length("text").cast("long").alias("n"), F.md5("text").alias("digest"))
+
+
 def pivot_counts(spark, sf):
     labels = {"view": "views", "click": "clicks", "purchase": "purchases", "signup": "signups"}
     return aggregates.pivot_counts(a.table(spark, sf, "events"), ["user_id"], "event_type", labels)
@@ -287,10 +318,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         flat_messages, channel_subscriptions, pair_balances, order_segments, exploded_payments, largest_values, distinct_statuses,
-        upsert_overwrite, upsert_if_changed, insert_new, additive_counters, increment_page, merge_into_files,
+        upsert_overwrite, upsert_if_changed, insert_new, additive_counters, increment_page, merge_into_files, merge_many_batches,
         incremental_runs, partition_rewrite, constraint_audit, orphan_audit, surrogate_ids, hash_keys, null_safe_absent,
         latest_per_key, best_per_key, oldest_n, lowest_n, union_distinct, symmetric_pairs, pad_and_union,
-        null_token_fields, clean_texts, pivot_counts, distinct_counts, sums_and_averages, first_seen, ratio_null_safe,
+        null_token_fields, clean_texts, dirty_csv_round_trip, pivot_counts, distinct_counts, sums_and_averages, first_seen, ratio_null_safe,
         event_times, period_slice, previous_month_orders,
     )
 }
@@ -329,6 +360,9 @@ ORACLE = {
     "merge_into_files": f"""{_BATCH}
       SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment FROM base
       UNION ALL SELECT * FROM fresh""",
+    "merge_many_batches": """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 9
+        ELSE least(o_orderkey % 7 + 1, 5) END AS version, 1 AS rewritten, true AS split
+      FROM orders WHERE o_orderkey % 7 <= 5 OR o_orderkey = (SELECT max(o_orderkey) FROM orders)""",
     "incremental_runs": "SELECT o_orderkey, o_totalprice FROM orders",
     "partition_rewrite": """SELECT year(o_orderdate) AS y, CAST(CASE WHEN year(o_orderdate) = 1996 THEN 1 ELSE 0 END AS BIGINT) AS version,
       count(*) AS n FROM orders GROUP BY ALL""",
@@ -362,6 +396,8 @@ ORACLE = {
     "null_token_fields": """SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN user_id END AS user_id FROM events""",
     "clean_texts": """WITH d AS (SELECT doc_id, translate(text || chr(1) || lang || chr(13) || chr(10) || source, chr(1) || chr(13) || chr(10), '   ') AS t FROM documents)
       SELECT doc_id, length(t) AS n, md5(t) AS digest FROM d""",
+    "dirty_csv_round_trip": """WITH d AS (SELECT doc_id, lang, translate('say "' || text || '"' || chr(1) || lang || chr(13) || chr(10) || source, chr(1) || chr(13) || chr(10), '   ') AS t FROM documents)
+      SELECT doc_id, lang, length(t) AS n, md5(t) AS digest FROM d""",
     "pivot_counts": """SELECT user_id, count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,
       count(*) FILTER (event_type = 'purchase') AS purchases, count(*) FILTER (event_type = 'signup') AS signups FROM events GROUP BY user_id""",
     "distinct_counts": "SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY ALL",

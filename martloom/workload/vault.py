@@ -106,6 +106,13 @@ def group_conversion(spark, sf):
     return _with_group(mart.withColumn("group_conversion", F.round("group_conversion", 9)), t)
 
 
+def ordered_group_conversion(spark, sf):
+    t = _social(spark, sf)
+    added = social.added_users(t["s_auth_history"], t["l_user_group_activity"], t["h_groups"], 5)
+    mart = social.group_conversion(added, social.users_with_messages(t["l_user_message"], t["l_groups_dialogs"]))
+    return _with_group(social.ordered_conversion(mart).select("place", "hk_group_id"), t)
+
+
 def _vault_counts(spark, sf, name):
     return vault.order_vault(a.order_messages(spark, sf), "orders", _LOADED)[name]
 
@@ -187,7 +194,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hub_load, link_load, satellite_load, hashdiff_changes, auth_history, social_satellites, users_with_messages,
-        added_users, group_conversion, order_vault_hubs, order_vault_links, order_vault_costs, order_vault_files, satellite_returns, social_vault_twice,
+        added_users, group_conversion, ordered_group_conversion, order_vault_hubs, order_vault_links, order_vault_costs, order_vault_files, satellite_returns, social_vault_twice,
         user_product_counters, user_category_counters,
     )
 }
@@ -266,6 +273,9 @@ ORACLE = {
     "group_conversion": f"""{_SOCIAL} SELECT group_id, cnt_added_users, coalesce(cnt_users_in_group_with_messages, 0) AS cnt_users_in_group_with_messages,
       round(coalesce(cnt_users_in_group_with_messages / nullif(cnt_added_users, 0), 0), 9) AS group_conversion
       FROM added LEFT JOIN writing USING (group_id)""",
+    "ordered_group_conversion": f"""{_SOCIAL} SELECT group_id, row_number() OVER (
+        ORDER BY coalesce(cnt_users_in_group_with_messages / nullif(cnt_added_users, 0), 0) DESC, sha256(CAST(group_id AS VARCHAR))) AS place
+      FROM added LEFT JOIN writing USING (group_id)""",
     "order_vault_hubs": f"""{_LINES}
       SELECT DISTINCT 'user' AS hub, {_pk('user', 'o_custkey')} AS pk, CAST(o_custkey AS VARCHAR) AS business_key FROM lines
       UNION ALL SELECT DISTINCT 'product', {_pk('product', 'l_partkey')}, CAST(l_partkey AS VARCHAR) FROM lines""",

@@ -28,3 +28,12 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return collect
+
+
+def merged(spark, path):
+    """A bucket table with the columns it was written with."""
+    from pyspark.sql import types as T
+
+    from martloom.sources.buckets import BucketTable
+
+    return BucketTable(spark, path, BucketTable(spark, path, T.StructType(), []).columns(), []).read()

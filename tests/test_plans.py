@@ -10,6 +10,7 @@ from martloom.functions.keys import hash_diff
 from martloom.plans import counters, geo_log, pipelines, profiles, recommendations, social, vault, warehouse, zones
 from martloom.session import work_dir
 from martloom.sources import sinks
+from tests.conftest import merged
 
 SYDNEY, MELBOURNE, GOLD_COAST = (-33.865, 151.2094), (-37.8136, 144.9631), (-28.0167, 153.4)
 CITIES = [(1, "Sydney", *SYDNEY), (2, "Melbourne", *MELBOURNE), (6, "Gold Coast", *GOLD_COAST)]
@@ -194,7 +195,7 @@ def test_warehouse_end_to_end_and_again(spark):
         pipelines.run_warehouse(spark, staging(spark), base, dt.date(2024, 2, 5))
 
     def table(name):
-        return spark.read.parquet(f"{base}/{name}")
+        return merged(spark, f"{base}/{name}")
 
     assert table("dm_orders").count() == 3 and table("dm_products").count() == 2
     assert table("dm_timestamps").count() == 5
@@ -214,9 +215,9 @@ def test_warehouse_takes_the_last_version(spark):
     s["bonus_events"] = spark.createDataFrame(paid, "id int, event_value string, event_ts timestamp")
     base = work_dir(spark, "house-versions")
     pipelines.run_warehouse(spark, s, base, dt.date(2024, 2, 5))
-    assert [r.restaurant_name for r in spark.read.parquet(f"{base}/dm_restaurants").collect()] == ["New"]
-    assert [r["count"] for r in spark.read.parquet(f"{base}/fct_product_sales").collect()] == [5]
-    assert [float(r.orders_total_sum) for r in spark.read.parquet(f"{base}/dm_settlement_report").collect()] == [50.0]
+    assert [r.restaurant_name for r in merged(spark, f"{base}/dm_restaurants").collect()] == ["New"]
+    assert [r["count"] for r in merged(spark, f"{base}/fct_product_sales").collect()] == [5]
+    assert [float(r.orders_total_sum) for r in merged(spark, f"{base}/dm_settlement_report").collect()] == [50.0]
 
 
 def test_orders_already_there_are_left_out(spark):
