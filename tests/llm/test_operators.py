@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -452,3 +453,78 @@ def test_pipeline_judges_documents_without_an_id(spark, benchmark, tmp_path):
 def test_folds(spark):
     row = spark.createDataFrame([(17,), (None,)], "doc_id long").select(remainder("doc_id", 4).alias("r")).collect()
     assert row[0][0] == zlib.crc32(b"17") % 4 and row[1][0] == 0
+
+
+def test_language_of_signs_that_are_no_letters(docs):
+    model = langid.train(docs)
+    spark = docs.sparkSession
+    odd = spark.createDataFrame([(1, "½ ² Ⅷ"), (2, "12 _ ³"), (3, "½ a"), (4, "ª"), (5, "中")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(odd, model).collect()} == {1: "und", 2: "und", 3: "en", 4: "en", 5: "en"}
+
+
+def test_language_bound_is_one(monkeypatch):
+    """The likelihood after many more rounds stays under the bound of the few."""
+    rng = np.random.default_rng(4)
+    logs = np.log(rng.dirichlet(np.ones(50) * 0.2, size=4).T + 1e-9)
+    chances, doc = np.exp(logs[rng.integers(0, 50, 300)]), np.repeat(np.arange(10), 30)
+    starts, weight, allowed = np.arange(0, 300, 30), rng.integers(1, 5, 300).astype(float), np.ones((10, 4))
+    _, few, most = langid._mixtures(chances, weight, starts, doc, allowed)
+    monkeypatch.setattr(langid, "ROUNDS", 3000)
+    _, many, tight = langid._mixtures(chances, weight, starts, doc, allowed)
+    assert (few <= many + 1e-9).all() and (many <= most + 1e-9).all() and (tight - many < most - few + 1e-9).all()
+
+
+def test_toxicity_of_reported_speech():
+    grammar = toxicity.Grammar()
+    total = lambda text: sum(grammar.clause(c, r)[0] for c, r in grammar.clauses(text))
+    assert total("you idiot") == 3.0
+    for reported in ("he said you idiot", 'he said: "you idiot"', "he wrote:\nyou idiot", "he wrote:\n\n“you idiot”"):
+        assert total(reported) == 1.5, reported
+    assert total('she wrote: "You idiot. You loser!"') == 3.0  # through the quotation
+    assert total('she wrote: "so what" and left. You idiot') == 3.0 and total("he said. You idiot") == 3.0 and total('you "idiot"') == 3.0
+
+
+def test_toxicity_learns_the_same_from_any_order_and_from_repeated_ids(spark):
+    rng = random.Random(5)
+    rows = [(i, _text(30) + (" blarg foo" if i % 2 else " fine bar") + f" {i % 40}") for i in range(200)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    more = rows + [(1, "other text of one id")] * 30
+    models = []
+    for data, parts in ((more, 1), (rng.sample(more, len(more)), 7)):
+        frame = spark.createDataFrame(data, "doc_id long, text string").repartition(parts)
+        models.append(toxicity.train(frame, labels))
+        assert toxicity._fit_rows(frame, labels).count() <= 200
+    assert models[0].grammar == models[1].grammar and np.allclose(models[0].weights, models[1].weights)
+
+
+def test_decontamination_of_items_without_an_id(spark):
+    passage = " ".join(f"q{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, passage), (2, "clean words only")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, passage), (7, passage)], "item_id long, text string")
+    found = _by_id(decontaminate.contamination(docs, items))
+    assert (found[1]["n_hit"], found[1]["items"], found[1]["contaminated"]) == (20, ["", "7"], True) and not found[2]["contaminated"]
+
+
+def test_decontamination_of_many_copies_and_items_that_share_a_passage(spark):
+    passage = " ".join(f"q{i}" for i in range(40))
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(passage).alias("text"))
+    items = spark.createDataFrame([(i, passage + f" tail{i}") for i in range(30)], "item_id long, text string")
+    found = decontaminate.contamination(docs, items)
+    assert found.where("n_hit = 40 and n_items = 30 and contaminated").count() == 1000
+
+
+def test_columns_of_any_name_pass_through_the_stages(spark, benchmark):
+    import corpus_pipeline
+
+    rows = [(i, t, "en", "s", 5, "x", "y", "z", "u", "v") for i, t in enumerate([BASE, BASE, _text(40), "token = \"0123456789abcdef0123456789abcdef\"", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, row_t1 string, text_key string, key string, ids string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = toxicity.reject(docs, labels)
+    kept = jaccard.first_rows(kept)
+    kept = secrets.redact(kept, secrets.train(kept))
+    assert kept.columns == docs.columns and {r[0] for r in kept.collect()} == {0, 2, 3, 4}
+    assert [r["a.b"] for r in kept.collect()] == ["x"] * 4
+    folder = tempfile.mkdtemp(prefix="stage-")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    out = corpus_pipeline.contaminated_out(spark, docs, folder)
+    assert out.columns == docs.columns and {r[0] for r in out.collect()} == {2, 3, 4}
