@@ -113,7 +113,7 @@ class Grammar:
             said = any(kind == REPORT for kind, _ in classes)
             quotes = not _QUOTES.isdisjoint(token)
             if quotes:
-                quoted = not quoted and said
+                quoted = not quoted and (said or (reported and not classes))
                 if token in _QUOTES and not (said or reported):
                     continue  # a quoted word or two inside a clause
             carried = quoted or (said and token[0] == ":") or (reported and not classes)
@@ -174,7 +174,7 @@ def _fit_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return lambda c: {"label": c["label"], "text": c["text"], "signature": [_signature(t) for t in c["text"]]}
 
     signed = map_texts(rows, "text", "label int, text string, signature long", make)
-    return materialise(signed.groupBy("label", "signature").agg(least).select("label", "text").orderBy(F.xxhash64("text"), "text"), "toxicity-sample")
+    return materialise(signed.groupBy("label", "signature").agg(least).select("label", "text"), "toxicity-sample")
 
 
 def _candidates(rows: DataFrame) -> list[tuple[str, int, int]]:
@@ -264,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         g = sent.value
         return lambda c: {"label": c["label"], "x": [g.features(t) for t in c["text"]]}
 
-    fit = map_texts(rows, "text", "label int, x array<double>", measure).collect()  # at most SAMPLE rows
+    fit = sorted(map_texts(rows, "text", "label int, x array<double>", measure).collect())  # at most SAMPLE rows
     y = np.array([r[0] for r in fit], float)
     if len(fit) == 0 or y.min() == y.max():
         return Model(grammar, _DEFAULT)
