@@ -218,3 +218,19 @@ def test_changes_of_a_value_over_slices(spark):
             wanted.append(i)
         last[k] = v
     assert sorted(r.id for r in found.collect()) == sorted(wanted)
+
+
+def test_a_crowded_cell_is_cut_into_blocks_and_loses_no_pair(spark, rows):
+    members = spark.range(60).select(F.lit(1).alias("g"), F.col("id").alias("m"), (F.col("id") * 1e-4).alias("lat"), F.lit(10.0).alias("lon"))
+    whole = pairs.close_pairs(members, ["g"], "m", 1.0)
+    cut = pairs.close_pairs(members, ["g"], "m", 1.0, rows_per_split=4)
+    assert rows(cut) == rows(whole) and whole.count() > 1000
+
+
+def test_numbered_steps_spread_a_hot_hour(spark):
+    from pyspark.sql import Window
+
+    hot = spark.range(2000).select(F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 5 > 0, 2).alias("u"), F.timestamp_seconds(F.lit(1e9) + F.col("id") % 600).alias("ts"), "id")
+    found = windows.numbered_steps(hot, ["u"], "ts", "id", "step", ranges=10)
+    want = hot.withColumn("step", F.row_number().over(Window.partitionBy("u").orderBy("ts", "id")))
+    assert found.count() == 2000 and found.exceptAll(want.select(*found.columns)).count() == 0

@@ -194,3 +194,34 @@ def test_a_cluster_needs_the_shared_folder():
     far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default)))
     with pytest.raises(RuntimeError):
         work_dir(far, "x")
+
+
+def test_quoted_csv_in_many_splits_equals_one_task(spark, tmp_path):
+    import random
+
+    rng = random.Random(9)
+    pool = ["a", 'say ""x""', "\n", "line\r\nbreak", ",", '""', "é", " "]
+    lines = ["id,text,n"] + [f'{i},"{"".join(rng.choice(pool) for _ in range(rng.randint(0, 9)))}",{i * 2}' for i in range(400)] + ["short", ""]
+    (tmp_path / "one.csv").write_bytes("\n".join(lines).encode())
+    (tmp_path / "two.csv").write_bytes(b'id,text,n\r\n900,"x\ny",1\r\n901,plain,2')
+    want = T.StructType().add("id", "integer").add("text", "string").add("n", "integer")
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    split, whole = (sorted(map(tuple, files.read_dirty_csv(s, str(tmp_path), want, "text").collect())) for s in (reader, spark))
+    assert files.csv_records(reader, str(tmp_path)).rdd.getNumPartitions() > 5 and split == whole
+    plain = spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema("id string, text string, n string").csv(str(tmp_path)).where("n is not null")
+    assert [r[0] for r in split] == sorted(int(r.id) for r in plain.collect()) and len(split) == 402
+    assert {r[0]: r[1] for r in split}[900] == "x y"
+
+
+def test_day_folders_are_read_by_their_times(spark, tmp_path):
+    base = str(tmp_path / "log")
+    rows = [("2022-01-01", "2022-01-01 10:00:00"), ("2022-01-02", "2021-12-30 10:00:00"), ("2022-01-02", "2022-01-02 10:00:00"), ("2022-01-09", "2022-01-02 11:00:00"), ("2022-01-20", "2022-01-20 10:00:00"), ("2022-01-21", None)]
+    events = spark.createDataFrame([(d, t) for d, t in rows], "day string, sent string").select(
+        F.struct(F.col("sent").alias("datetime"), F.lit(None).cast("string").alias("message_ts")).alias("event"), F.col("day").cast("date").alias("date"))
+    files.land_events(events, base)
+    events.limit(1).withColumn("date", F.lit("2022-03-01").cast("date")).write.mode("append").partitionBy("date").parquet(base)  # landed without a note
+    read = files.read_events_of_times(spark, base, "2022-01-02", "2022-01-03", events.schema)
+    assert sorted(str(r[0]) for r in read.select("date").distinct().collect()) == ["2022-01-02", "2022-01-09", "2022-03-01"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "2022-01-20" in plan or "19012" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
