@@ -51,7 +51,8 @@ def hash_key(*cols: Column, algo: str = "xxhash64") -> Column:
     """Key of one or more business-key columns; null when any of them is null.
 
     ``xxhash64`` is a compact bigint for dimensions up to some hundred million keys (beyond,
-    64 bits collide); ``sha256`` and ``uuid5`` serve any number.
+    64 bits collide); ``sha256`` and ``uuid5`` serve any number. These two join the parts by an underscore, so parts that may
+    hold one need ``sha256_framed``, which puts each part's length before it.
     """
     if algo == "uuid5":
         return uuid5(*cols)
@@ -61,6 +62,9 @@ def hash_key(*cols: Column, algo: str = "xxhash64") -> Column:
         key = F.xxhash64(*parts)
     elif algo == "sha256":
         key = F.sha2(F.concat_ws(NAME_SEPARATOR, *parts), 256)
+    elif algo == "sha256_framed":
+        framed = [x for p in parts for x in (F.char_length(p).cast("string"), F.lit(":"), p)]
+        key = F.sha2(F.concat(*framed), 256)
     else:
         raise ValueError(f"unknown key algorithm: {algo}")
     return F.when(~_any_null(cols), key)

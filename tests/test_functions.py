@@ -107,3 +107,11 @@ def test_has_key_counts_a_json_null(spark):
 def test_canonical_json(spark):
     df = spark.createDataFrame([("x", None, dt.datetime(2022, 1, 2, 3, 4, 5))], "b string, a string, t timestamp")
     assert df.select(documents.canonical_json(df.columns)).first()[0] == '{"a":null,"b":"x","t":"2022-01-02 03:04:05"}'
+
+
+def test_framed_keys_tell_parts_with_separators_apart(spark):
+    rows = spark.createDataFrame([("a_b", "c"), ("a", "b_c"), ("a", None), ("", "1:a")], "x string, y string")
+    found = [r[0] for r in rows.select(keys.hash_key(F.col("x"), F.col("y"), algo="sha256_framed")).collect()]
+    assert found == [hashlib.sha256(t.encode()).hexdigest() if t else None for t in ("3:a_b1:c", "1:a3:b_c", None, "0:3:1:a")]
+    plain = [r[0] for r in rows.select(keys.hash_key(F.col("x"), F.col("y"), algo="sha256")).collect()]
+    assert plain[0] == plain[1] and found[0] != found[1]
