@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import components, map_texts, on_workers, slices, numbered
+from martloom.llm.common import components, map_texts, numbered, on_workers, slices
 from martloom.llm.grams import Words, follow, mix, pack, planes, shard_ends, text_bytes, tokens, unpack, unplanes
 from martloom.session import materialise
 
 #: Words in a shingle, and the least similarity in hundredths.
 WORDS, PERCENT = 5, 80
 #: Bytes of text whose shingles a shard counts.
-SHARD = 24 << 20
+SHARD = 16 << 20
 #: Shingles of a prefix that families first meet by, rounds of leaders at most, and pairs for each list entry below
 #: which the rest is joined at once.
 SEEDS, ROUNDS, FEW = 2, 8, 4
