@@ -12,8 +12,6 @@ from martloom.functions.geo import (
     chord_rank,
     degree_cell,
     haversine_km,
-    neighbour_cells,
-    sphere_cell,
     unit_vector,
     usable_position,
 )
@@ -21,8 +19,12 @@ from martloom.session import materialise
 
 # Up to this many centres are listed by cell in a broadcast table; more are joined by grid cell.
 LISTED_CENTRES = 200
-# Search radii of the unbounded grid form; the last spans half the equator.
-_RINGS_KM = (50.0, 150.0, 450.0, 1350.0, 4050.0, 12150.0, 20100.0)
+# More centres stand in a tree of cells of 45 degrees, each cut into 4 x 4 as long as it holds more than a few, down to five metres.
+_TREE_DEGREES, _TREE_LEVELS, _FEW_CENTRES = 45.0, 10, 16
+# A cell's number: its level, row and column.
+_LEVEL_STEP, _ROW_STEP = 1 << 46, 1 << 23
+# Above the grain of ``chord_rank`` (1e-15 of a squared chord), so that equal ranks are never cut off.
+_TIE = 1e-7
 
 
 def box_join(
@@ -74,8 +76,8 @@ def nearest_centre(
     ``box_degrees`` limits the search to a degree box. The number of centres is checked: up to
     ``list_limit`` of them become a broadcast table of grid cells with the few centres that can win
     there, so that a point costs one hash probe, stays in its partition and is never multiplied. More
-    centres go through grid-cell equi-joins and a minimum per distinct position, joined back to the points by
-    it. Both give each point one row, whatever its other columns. Points without a usable position never match.
+    centres are met by distinct position, through degree cells or down a tree of the cells that hold centres, and the result is joined back to the
+    points by position. Both give each point one row, whatever its other columns. Points without a usable position never match.
     """
     listed = centres.where(usable_position(F.col(centre_lat), F.col(centre_lon))).select(
         F.col(centre_id).alias("id"), F.col(centre_lat).cast("double").alias("lat"),
@@ -102,7 +104,7 @@ def nearest_centre(
         if box_degrees is not None:
             chosen = _match_in_box(usable, listed, box_degrees, inclusive, lat, lon)
         else:
-            chosen = _match_by_rings(usable, listed, lat, lon)
+            chosen = _match_by_descent(usable, listed, lat, lon)
         chosen = chosen.select(lat, lon, F.struct(F.col("_c").alias("centre")).alias("_best"))
         matched = points.join(chosen, [lat, lon], "left" if keep_unmatched else "inner")
     extra = [haversine_km(*place, F.col("_best.centre.lat"), F.col("_best.centre.lon")).alias(distance)] if distance else []
@@ -149,12 +151,16 @@ _CELL_ROWS, _CELL_COLUMNS = 180 // _CELL_DEGREES, 360 // _CELL_DEGREES
 _CELL_REACH_KM = 158.0
 
 
-def _lookup_cell(lat: Column, lon: Column) -> Column:
-    """Number of the two-degree cell; coordinates beyond the poles or the date line are folded back first."""
+def _folded(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """The position with coordinates beyond the poles or the date line folded back."""
     x, y, z = unit_vector(lat, lon)
     plain = (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
-    true_lat = F.when(plain, lat).otherwise(F.degrees(F.asin(z)))
-    true_lon = F.when(plain, lon).otherwise(F.degrees(F.atan2(y, x)))
+    return F.when(plain, lat).otherwise(F.degrees(F.asin(z))), F.when(plain, lon).otherwise(F.degrees(F.atan2(y, x)))
+
+
+def _lookup_cell(lat: Column, lon: Column) -> Column:
+    """Number of the two-degree cell."""
+    true_lat, true_lon = _folded(lat, lon)
     row = F.least(F.floor((true_lat + 90) / _CELL_DEGREES), F.lit(_CELL_ROWS - 1))
     column = F.least(F.floor((true_lon + 180) / _CELL_DEGREES), F.lit(_CELL_COLUMNS - 1))
     return (row * _CELL_COLUMNS + column).cast("int")
@@ -199,21 +205,85 @@ def _match_in_box(points, listed, degrees, inclusive, lat, lon):
     return _pick(box_join(points, boxed, degrees, "inner", inclusive, lat, lon), lat, lon)
 
 
-def _match_by_rings(points, listed, lat, lon):
-    """Widen the radius until every point has met a centre; a ring settles the points whose
-    nearest hit lies within its radius, for any closer centre would have been in it too."""
-    centres = listed.select(F.struct("*").alias("_c"))
-    pending, settled = materialise(points, "positions"), None
-    for km in _RINGS_KM:
-        around = neighbour_cells(sphere_cell(F.col("_c.lat"), F.col("_c.lon"), km), km)
-        cells = centres.withColumn("_near", F.explode(around)).select(
-            "_c", F.struct("_near.x", "_near.y", "_near.z").alias("_cell")
-        )
-        hits = pending.withColumn("_cell", sphere_cell(F.col(lat), F.col(lon), km)).join(cells, "_cell")
-        reach = haversine_km(F.col(lat), F.col(lon), F.col("_c.lat"), F.col("_c.lon"))
-        best = materialise(_pick(hits, lat, lon).where(reach <= km), "nearest")
-        settled = best if settled is None else settled.unionByName(best)
-        pending = materialise(pending.join(best.select(lat, lon), [lat, lon], "left_anti"), "positions")
+def _cell_tree(listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells that hold centres, as a tree: (node, kids, members), and the topmost cells (kid).
+
+    A cell of more than a few centres has the cells it is cut into as ``kids``, each with its middle, its reach and one of its
+    centres; any other cell lists its centres as ``members``. Of centres at one place only the least id is there.
+    """
+    lat, lon = _folded(F.col("lat"), F.col("lon"))
+    finest = 4**_TREE_LEVELS
+    edge = _TREE_DEGREES / finest
+    row = F.least(F.floor((lat + 90) / edge), F.lit(int(180 / _TREE_DEGREES) * finest - 1)).cast("long")
+    column = F.least(F.floor((lon + 180) / edge), F.lit(int(360 / _TREE_DEGREES) * finest - 1)).cast("long")
+
+    def node(level: int) -> Column:
+        cut = 2 * (_TREE_LEVELS - level)
+        return F.lit(level * _LEVEL_STEP) + F.shiftright("_row", cut) * _ROW_STEP + F.shiftright("_column", cut)
+
+    def place(level: int) -> Column:
+        parent = node(level - 1) if level else F.lit(-1).cast("long")
+        return F.struct(F.lit(level).alias("level"), node(level).alias("node"), parent.alias("parent"))
+
+    spots = listed.groupBy("lat", "lon").agg(F.min(F.struct("id", F.struct(*listed.columns).alias("c"))).alias("least"))
+    placed = materialise(spots.select(row.alias("_row"), column.alias("_column"), F.col("least.c").alias("c")), "centres")
+    within = placed.select("c", F.inline(F.array(*[place(i) for i in range(_TREE_LEVELS + 1)])))
+    one = F.min(F.struct("c.x", "c.y", "c.z")).alias("one")
+    cells = materialise(within.groupBy("level", "node", "parent").agg(F.count("*").alias("n"), one), "centre-cells")
+    crowded = cells.where((F.col("n") > _FEW_CENTRES) & (F.col("level") < _TREE_LEVELS)).select("node")
+    roots, below = cells.where("level = 0"), cells.join(crowded.toDF("parent"), "parent", "left_semi")
+    width, in_level = F.lit(_TREE_DEGREES) / F.pow(F.lit(4.0), "level"), F.col("node") % _LEVEL_STEP
+    middle = unit_vector((F.floor(in_level / _ROW_STEP) + 0.5) * width - 90, (in_level % _ROW_STEP + 0.5) * width - 180)
+    # The straight way in degrees is never shorter than the way on the sphere, nor that than the chord.
+    reach = F.radians(width) * (math.sqrt(0.5) * (1 + 1e-9))
+    kid = F.struct("node", F.struct(*[m.alias(n) for m, n in zip(middle, "xyz")]).alias("middle"), reach.alias("reach"), "one").alias("kid")
+    kids = below.select("parent", kid).groupBy(F.col("parent").alias("node")).agg(F.collect_list("kid").alias("kids"))
+    last = roots.select("node").union(below.select("node")).join(crowded, "node", "left_anti")
+    members = within.join(last, "node", "left_semi").groupBy("node").agg(F.collect_list("c").alias("members"))
+    return materialise(kids.unionByName(members, allowMissingColumns=True), "centre-tree"), roots.select(kid)
+
+
+def _match_by_descent(points, listed, lat, lon):
+    """All points go down the tree together, a level in a round. Every cell a point meets tells it of one centre, so it keeps only
+    the cells that may hold one as near as the nearest it knows of; it is settled when no cell is left."""
+    tree, roots = _cell_tree(listed)
+    vector = {f"_{n}": v for n, v in zip("xyz", unit_vector(F.col(lat), F.col(lon)))}
+
+    def chord(c: Column) -> Column:
+        return F.sqrt(sum(((F.col(f"_{n}") - c[n]) * (F.col(f"_{n}") - c[n]) for n in "xyz"), F.lit(0.0)))
+
+    def met(kids: Column) -> Column:
+        """The least distance to each cell, that to its one centre, and its number."""
+        return F.transform(kids, lambda k: F.struct((chord(k["middle"]) - k["reach"]).alias("low"), chord(k["one"]).alias("high"), k["node"].alias("node")))
+
+    def ranked(members: Column) -> Column:
+        near = tuple(F.col(f"_{n}") for n in "xyz")
+        return F.array_min(F.transform(members, lambda c: F.struct(chord_rank(near, (c["x"], c["y"], c["z"])).alias("rank"), c["id"].alias("id"), c.alias("c"))))
+
+    def highest(cells: Column) -> Column:
+        return F.array_min(F.transform(cells, lambda k: k["high"]))
+
+    def left(cells: Column) -> Column:
+        return F.transform(F.filter(cells, lambda k: k["low"] <= F.col("_limit") + _TIE), lambda k: k["node"])
+
+    # No more than 32 cells stand on top. The generators hold what filters read once for each element.
+    top = roots.agg(F.collect_list("kid").alias("kids")).scalar()
+    first = points.withColumns({**vector, "_top": top}).withColumn("_met", F.explode(F.array(met(F.col("_top"))))).withColumn("_limit", F.explode(F.array(highest(F.col("_met")))))
+    pending = materialise(first.select(lat, lon, left(F.col("_met")).alias("_open"), "_limit"), "positions")
+    best = ranked(F.col("members"))
+    # Rows of points without any centre are dropped.
+    settled, known = None, None
+    for _ in range(_TREE_LEVELS + 1):
+        step = pending.withColumn("node", F.explode("_open")).join(tree, "node").withColumns(vector)
+        step = step.select(lat, lon, *([known] if known else []), "_limit", met(F.col("kids")).alias("_met"), best.alias("_found"))
+        found = F.array_min(F.array("_found", known)) if known else F.col("_found")
+        # The rank of a centre is a squared chord.
+        low = F.least("_limit", highest(F.col("_met")), F.sqrt(F.col("_found.rank") / 1e15) + _TIE)
+        state = step.groupBy(lat, lon).agg(F.min(low).alias("_limit"), F.min(found).alias("_best"), F.flatten(F.collect_list("_met")).alias("_met"))
+        state = materialise(state.select(lat, lon, "_limit", "_best", left(F.col("_met")).alias("_open")), "descent")
+        done = state.where("size(_open) = 0").select(lat, lon, F.col("_best.c").alias("_c"))
+        settled = done if settled is None else settled.unionByName(done)
+        pending, known = state.where("size(_open) > 0"), "_best"
         if pending.isEmpty():
             break
     return settled

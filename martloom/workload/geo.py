@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.geo import haversine_km, km_to_degrees
 from martloom.functions.temporal import local_time
-from martloom.operators.spatial import box_join
+from martloom.operators.spatial import box_join, nearest_centre
 from martloom.operators.windows import numbered_steps, running_count
 from martloom.plans import geo_log, pipelines, profiles, recommendations, zones
 from martloom.session import work_dir
@@ -56,6 +56,18 @@ def nearest_city_in_box(spark, sf):
     return _nearest(spark, sf, profiles.CITY_BOX_KM)
 
 
+def nearest_city_many_centres(spark, sf):
+    """Nearest of all customers' places, half of them in one town and the others over the whole sphere; found down the tree of cells."""
+    key = F.col("c_custkey")
+    town = key % 2 == 0
+    centres = a.table(spark, sf, "customer").select(
+        key.alias("customer"),
+        F.when(town, F.lit(-33.8) + key % 997 / F.lit(10007.0)).otherwise(F.lit(-88.0) + key * 37 % 1759 / F.lit(10.0)).alias("c_lat"),
+        F.when(town, F.lit(151.2) + key % 991 / F.lit(10009.0)).otherwise(F.lit(-179.0) + key * 53 % 3581 / F.lit(10.0)).alias("c_lon"))
+    placed = nearest_centre(_log(spark, sf), centres, "customer", ["customer"], distance="km", list_limit=100)
+    return placed.select("event_id", F.col("customer").cast("long").alias("customer"), F.round("km", 3).alias("km"))
+
+
 def local_times(spark, sf):
     cities = profiles.city_timezones(a.cities(spark, sf)).select("id", "timezone")
     joined = _log(spark, sf).join(cities, F.col("event_id") % 25 == F.col("id"))
@@ -153,7 +165,7 @@ def friend_recommendations(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        haversine_pairs, box_pairs, nearest_city, nearest_city_in_box, local_times, last_position, running_day_count,
+        haversine_pairs, box_pairs, nearest_city, nearest_city_in_box, nearest_city_many_centres, local_times, last_position, running_day_count,
         home_city, travel_history, travel_steps, travel_steps_hot, user_profiles, registrations, fill_positions, zone_activity, zone_run_files,
         nearby_pairs, not_yet_talked, friend_recommendations,
     )
@@ -228,6 +240,16 @@ ORACLE = {
     "nearest_city_in_box": f"{_WITH} SELECT g.event_id, CAST(c.id AS BIGINT) AS city_id, round({_KM}, 3) AS km "
     f"FROM geo g JOIN cities c ON {_BOX} "
     f"QUALIFY row_number() OVER (PARTITION BY g.event_id ORDER BY round({_KM}, 6), c.id) = 1",
+    "nearest_city_many_centres": f"""WITH {a.GEO_SQL.strip()},
+      c AS (
+        SELECT c_custkey AS id,
+               CASE WHEN c_custkey % 2 = 0 THEN -33.8::DOUBLE + c_custkey % 997 / 10007.0::DOUBLE ELSE -88.0::DOUBLE + c_custkey * 37 % 1759 / 10.0::DOUBLE END AS lat,
+               CASE WHEN c_custkey % 2 = 0 THEN 151.2::DOUBLE + c_custkey % 991 / 10009.0::DOUBLE ELSE -179.0::DOUBLE + c_custkey * 53 % 3581 / 10.0::DOUBLE END AS lon
+        FROM customer),
+      g AS (SELECT DISTINCT lat, lon FROM geo WHERE lat IS NOT NULL),
+      near AS (
+        SELECT g.lat, g.lon, min([round({_KM}, 6), c.id, {_KM}]) AS best FROM g, c GROUP BY g.lat, g.lon)
+      SELECT event_id, CAST(best[2] AS BIGINT) AS customer, round(best[3], 3) AS km FROM geo JOIN near USING (lat, lon)""",
     "local_times": f"""{_WITH} SELECT event_id, {a.zone_sql('Australia/Sydney')} AS timezone,
       {_LOCAL.format(zone=a.zone_sql('Australia/Sydney'), ts='event_time')} AS local_time
       FROM geo JOIN cities ON event_id % 25 = id""",

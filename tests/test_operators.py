@@ -234,3 +234,24 @@ def test_numbered_steps_spread_a_hot_hour(spark):
     found = windows.numbered_steps(hot, ["u"], "ts", "id", "step", ranges=10)
     want = hot.withColumn("step", F.row_number().over(Window.partitionBy("u").orderBy("ts", "id")))
     assert found.count() == 2000 and found.exceptAll(want.select(*found.columns)).count() == 0
+
+
+def test_nearest_of_many_centres_clustered_sparse_and_equal(spark):
+    """Three crowds far apart, lone centres, centres at one place, at a pole and at the date line; points near, far and between."""
+    import random
+
+    r = random.Random(3)
+    spots = [(r.gauss(-33.8, 0.01), r.gauss(151.2, 0.01)) for _ in range(300)] + [(r.gauss(48.9, 2.0), r.gauss(2.3, 2.0)) for _ in range(200)]
+    spots += [(0.0, 179.99 + i / 1000) for i in range(30)] + [(89.99, 12.0 * i) for i in range(30)] + [(-33.8, 151.2)] * 40 + [(-80.0, 5.0), (10.0, -100.0)]
+    spots = [(i, lat, lon) for i, (lat, lon) in enumerate(spots)]
+    points = [(r.uniform(-90, 90), r.uniform(-180, 180)) for _ in range(150)] + [(r.gauss(-33.8, 0.05), r.gauss(151.2, 0.05)) for _ in range(100)]
+    points += [(0.0, -179.99), (0.0, 180.0), (90.0, 0.0), (-90.0, 0.0), (-33.8, 151.2), (100.0, 200.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "event_id int, lat double, lon double")
+    centres = spark.createDataFrame(spots, "id int, c_lat double, c_lon double").withColumn("zone", F.col("id"))
+    got = {x.event_id: x for x in spatial.nearest_centre(df, centres, "id", ["zone"], distance="km").collect()}
+    assert len(got) == len(points)
+    for i, p in enumerate(points):
+        least = min(km(p, c[1:]) for c in spots)
+        assert got[i].km == pytest.approx(least, abs=1e-3)
+        if i < 250 or p == (-33.8, 151.2):
+            assert got[i].zone == min(c[0] for c in spots if km(p, c[1:]) <= least + 1e-9)
