@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from martloom.llm.decontaminate import SHARE, WINDOW
+from martloom.llm.embeddings import COSINE
+from martloom.llm.jaccard import PERCENT, WORDS
 from martloom.llm.urls import DAMPING, LINK, ROUNDS, THRESHOLD
 
 _GAP = "[\\x20\\x09-\\x0D]+"
@@ -82,4 +85,44 @@ waves AS (
 standing AS (SELECT host, sum(CASE WHEN kind = 'distrust' THEN value ELSE -value END) AS excess FROM waves GROUP BY host)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN excess > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict FROM judged LEFT JOIN standing USING (host)"""
 
-ORACLE = {"op11_filter_audit": OP11, "op12_prefix_trie": OP12, "op13_url_filter": OP13}
+_LOWER = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = "regexp_extract_all(" + _LOWER.format(t="text") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP4 = f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_BENCH_WORDS} AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_BENCH_WORDS} AS w FROM benchmark),
+sized AS (SELECT item, w, least({WINDOW}, len(w)) AS width FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, width, w[p:p + width - 1] AS span FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS p FROM sized)),
+places AS (
+  SELECT row, p, width, w[p:p + width - 1] AS span
+  FROM (SELECT row, w, width, unnest(range(1, len(w) - width + 2)) AS p FROM d, (SELECT DISTINCT width FROM windows) WHERE len(w) >= width)),
+hits AS (SELECT row, p, width, item FROM places JOIN windows USING (width, span)),
+covered AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(p, p + width)) AS place FROM hits) GROUP BY row),
+items AS (SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(c.n, 0) > 0 AND {SHARE} * coalesce(c.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered c USING (row) LEFT JOIN items i USING (row)"""
+
+OP5 = f"""WITH RECURSIVE v AS (SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+usable AS (
+  SELECT row, vec_id, x, len(x) AS size, sqrt(list_dot_product(x, x)) AS norm FROM v
+  WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+pairs AS (
+  SELECT a.row AS a, b.row AS b FROM usable a JOIN usable b ON a.size = b.size AND a.row < b.row
+  WHERE list_dot_product(a.x, b.x) / (a.norm * b.norm) >= {COSINE}::DOUBLE),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+found(node, other) AS (SELECT row, row FROM v UNION SELECT f.node, l.b FROM found f JOIN links l ON f.other = l.a),
+least AS (SELECT node, min(vec_id) AS component_id FROM found JOIN v ON v.row = other GROUP BY node),
+counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN least ON node = row LEFT JOIN counts USING (row)"""
+
+OP8 = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER.format(t="text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sized AS (SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - {WORDS} + 1, 1) + 1), lambda p: w[p:p + {WORDS} - 1])) END AS s FROM d),
+shingles AS (SELECT row, unnest(s) AS shingle FROM sized),
+common AS (SELECT a.row AS a, b.row AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row GROUP BY ALL),
+pairs AS (SELECT a, b FROM common JOIN sized x ON x.row = a JOIN sized y ON y.row = b WHERE 100 * n >= {PERCENT} * (len(x.s) + len(y.s) - n)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+found(node, other) AS (SELECT row, row FROM d UNION SELECT f.node, l.b FROM found f JOIN links l ON f.other = l.a),
+least AS (SELECT node, min(doc_id) AS component_id FROM found JOIN d ON d.row = other GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sized JOIN least ON node = row"""
+
+ORACLE = {"op4_decontaminate": OP4, "op5_embeddings": OP5, "op8_jaccard": OP8, "op11_filter_audit": OP11, "op12_prefix_trie": OP12, "op13_url_filter": OP13}
