@@ -82,8 +82,10 @@ def merge_into(
     BucketTable(spark, path, schema, keys, max_rows, filters=False).merge(source, merge)
 
 
-def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table written by ``merge_into``."""
+def read_merged(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table written by ``merge_into``, by default with the columns it was written with."""
+    if schema is None:
+        schema = BucketTable(spark, path, T.StructType(), []).columns()
     return BucketTable(spark, path, schema, []).read()
 
 

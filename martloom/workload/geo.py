@@ -121,6 +121,20 @@ def zone_run_files(spark, sf):
     return mart.select("month", F.col("week").cast("long").alias("week"), F.col("zone_id").cast("long").alias("zone_id"), *mart.columns[3:])
 
 
+#: Days of the profile run over files.
+_PROFILE_DAYS = ("2024-01-05", "2024-01-24")
+
+
+def profile_run_files(spark, sf):
+    """The profile mart of a run over day folders and a CSV of cities, by its own defaults."""
+    base = work_dir(spark, "profile-run")
+    land_events(a.geo_log(spark, sf, True).drop("event_id"), f"{base}/events")
+    a.cities(spark, sf).write.option("header", True).csv(f"{base}/cities")
+    pipelines.run_geo_marts(spark, pipelines.GeoRun(f"{base}/events", f"{base}/cities", f"{base}/marts", *_PROFILE_DAYS), ("profiles",))
+    mart = spark.read.parquet(f"{base}/marts/user_profiles")
+    return mart.withColumns({"travel_array": F.array_join("travel_array", " > "), "local_time": F.date_format("local_time", "yyyy-MM-dd HH:mm:ss")})
+
+
 def user_profiles(spark, sf):
     mart = profiles.user_profiles(a.geo_log(spark, sf, True), a.cities(spark, sf), MIN_DAYS, time_as_text=True)
     return mart.withColumn("travel_array", F.array_join("travel_array", " > "))
@@ -166,7 +180,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         haversine_pairs, box_pairs, nearest_city, nearest_city_in_box, nearest_city_many_centres, local_times, last_position, running_day_count,
-        home_city, travel_history, travel_steps, travel_steps_hot, user_profiles, registrations, fill_positions, zone_activity, zone_run_files,
+        home_city, travel_history, travel_steps, travel_steps_hot, user_profiles, profile_run_files, registrations, fill_positions, zone_activity, zone_run_files,
         nearby_pairs, not_yet_talked, friend_recommendations,
     )
 }
@@ -174,21 +188,32 @@ QUERIES = {
 _WITH = f"WITH {a.GEO_SQL.strip()}, {a.CITIES_SQL.strip()}"
 _KM = a.km_sql("g.lat", "g.lon", "c.lat", "c.lon")
 _BOX = f"abs(g.lat - c.lat) <= {_DEGREES!r}::DOUBLE AND abs(g.lon - c.lon) <= {_DEGREES!r}::DOUBLE"
-_ALL_MESSAGES_PLACED = f"""{_WITH},
+
+
+def _placed_sql(min_days, period="true"):
+    return f"""{_WITH},
 placed AS (
   SELECT g.event_id, g.user_id, g.event_time, CAST(g.event_time AS DATE) AS day, c.city, c.zoned
-  FROM geo g JOIN cities c ON {_BOX}
+  FROM geo g JOIN cities c ON {_BOX} AND {period}
   QUALIFY row_number() OVER (PARTITION BY g.event_id ORDER BY round({_KM}, 6), c.id) = 1),
 visits AS (
   SELECT user_id, city, zoned, count(DISTINCT day) AS days, min(event_time) AS first_ts, max(event_time) AS last_ts
   FROM placed GROUP BY ALL),
 home AS (
-  SELECT user_id, city AS home_city FROM visits WHERE days >= {MIN_DAYS}
+  SELECT user_id, city AS home_city FROM visits WHERE days >= {min_days}
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY days DESC, city) = 1),
 travel AS (
   SELECT user_id, count(*) AS travel_count, string_agg(city, ' > ' ORDER BY first_ts, city) AS travel_array
   FROM visits GROUP BY user_id)"""
+
+
+_ALL_MESSAGES_PLACED = _placed_sql(MIN_DAYS)
+_PROFILES = """
+      SELECT v.user_id, v.city AS act_city, coalesce(h.home_city, v.city) AS home_city, t.travel_count, t.travel_array, {local} AS local_time
+      FROM (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC, city DESC) = 1) v
+      LEFT JOIN home h ON h.user_id = v.user_id JOIN travel t ON t.user_id = v.user_id"""
 _LOCAL = "strftime(timezone({zone}, timezone('UTC', {ts})), '%Y-%m-%d %H:%M:%S')"
+_LOCAL_OF_VISIT = _LOCAL.format(zone=a.zone_sql("Australia/Sydney", "v.city", "v.zoned"), ts="v.last_ts")
 _LAST = """last AS (
   SELECT user_id, lat, lon, event_time AS location_ts FROM geo WHERE kind = 'message' AND lat IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_time DESC, event_id DESC) = 1)"""
@@ -265,11 +290,8 @@ ORACLE = {
       SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY sent, event_id) AS step FROM e""",
     "travel_steps": f"""{_ALL_MESSAGES_PLACED}
       SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS step, city FROM placed""",
-    "user_profiles": f"""{_ALL_MESSAGES_PLACED}
-      SELECT v.user_id, v.city AS act_city, coalesce(h.home_city, v.city) AS home_city, t.travel_count, t.travel_array,
-             {_LOCAL.format(zone=a.zone_sql('Australia/Sydney', 'v.city', 'v.zoned'), ts='v.last_ts')} AS local_time
-      FROM (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC, city DESC) = 1) v
-      LEFT JOIN home h ON h.user_id = v.user_id JOIN travel t ON t.user_id = v.user_id""",
+    "user_profiles": _ALL_MESSAGES_PLACED + _PROFILES.format(local=_LOCAL_OF_VISIT),
+    "profile_run_files": _placed_sql(profiles.HOME_MIN_DAYS, f"CAST(g.event_time AS DATE) BETWEEN '{_PROFILE_DAYS[0]}' AND '{_PROFILE_DAYS[1]}'") + _PROFILES.format(local=_LOCAL_OF_VISIT),
     "registrations": f"""{_WITH} SELECT user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS registered, lat, lon
       FROM geo WHERE kind = 'message' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_time) = 1""",
     "fill_positions": f"""{_WITH}, {_LAST} SELECT g.event_id, g.kind, coalesce(g.lat, l.lat) AS lat, coalesce(g.lon, l.lon) AS lon
