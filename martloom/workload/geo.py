@@ -273,7 +273,7 @@ ORACLE = {
         FROM customer),
       g AS (SELECT DISTINCT lat, lon FROM geo WHERE lat IS NOT NULL),
       near AS (
-        SELECT g.lat, g.lon, min([round({_KM}, 6), c.id, {_KM}]) AS best FROM g, c GROUP BY g.lat, g.lon)
+        SELECT g.lat, g.lon, min([round({_KM}, 9), c.id, {_KM}]) AS best FROM g, c GROUP BY g.lat, g.lon)
       SELECT event_id, CAST(best[2] AS BIGINT) AS customer, round(best[3], 3) AS km FROM geo JOIN near USING (lat, lon)""",
     "local_times": f"""{_WITH} SELECT event_id, {a.zone_sql('Australia/Sydney')} AS timezone,
       {_LOCAL.format(zone=a.zone_sql('Australia/Sydney'), ts='event_time')} AS local_time
