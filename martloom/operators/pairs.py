@@ -68,7 +68,9 @@ def close_pairs(
     b = right.select(*at, "_row", "_column", "_own", *[F.col(c).alias("b_" + c) for c in own])
     distance = haversine_km(F.col("a_" + lat), F.col("a_" + lon), F.col("b_" + lat), F.col("b_" + lon))
     once = (F.col("a_" + member) != F.col("b_" + member)) & (~F.col("_own") | (F.col("a_" + member) < F.col("b_" + member)))
-    met = a.join(b, [*at, "_row", "_column"]).where(once & (distance <= km))
+    # Written members are some bytes a row in their files and hundreds in memory: going by the files, the planner would send one side to
+    # every task through the driver.
+    met = a.join(b.hint("merge"), [*at, "_row", "_column"]).where(once & (distance <= km))
     a_first = F.col("a_" + member) < F.col("b_" + member)
     sides = []
     for name in (member, *carry):

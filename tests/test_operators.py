@@ -200,6 +200,13 @@ def test_close_pairs_equal_brute_force(spark, rows, split):
     assert got == sorted(expected, key=repr) and len(got) > 200
 
 
+def test_members_of_pairs_are_never_broadcast(spark):
+    members = spark.range(200).select((F.col("id") % 2).alias("g"), F.col("id").alias("u"), F.lit(10.0).alias("lat"), (F.col("id") * 1e-3).alias("lon"))
+    plan = pairs.close_pairs(members, ["g"], "u", 1.0)._jdf.queryExecution().sparkPlan().toString()
+    met = [line for line in plan.splitlines() if "Join" in line and "_row" in line and "_column" in line]
+    assert met and all("SortMergeJoin" in line for line in met)
+
+
 def test_exclude_pairs_in_both_directions(spark, rows):
     found = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
     talked = spark.createDataFrame([(2, 1), (1, 3), (1, 3)], "a long, b long")
