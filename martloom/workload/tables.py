@@ -203,16 +203,20 @@ def clean_texts(spark, sf):
     return a.table(spark, sf, "documents").select("doc_id", F.length(cleaned).cast("long").alias("n"), F.md5(cleaned).alias("digest"))
 
 
+#: Bytes of a split of CSV at most.
+_CSV_SPLIT = 64 << 20
+
+
 def dirty_csv_round_trip(spark, sf):
-    """Texts with line breaks, quotes and control bytes written as one quoted CSV file and read in many splits."""
+    """Texts with line breaks, quotes and control bytes written as quoted CSV, each file read in many splits."""
     path = work_dir(spark, "csv")
     dirty = F.concat(F.lit('say "'), F.col("text"), F.lit('"\x01'), F.col("lang"), F.lit("\r\n"), F.col("source"))
     rows = a.table(spark, sf, "documents").select("doc_id", dirty.alias("text"), "lang")
-    rows.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
-    # A session of its own reads in splits of a twentieth of the file.
+    # A session of its own reads in splits of a twentieth of the whole, or of 64 MB where that is less.
     reader = spark.newSession()
-    reader.conf.set("spark.sql.files.maxPartitionBytes", str(size // 20 + 1))
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(min(size // 20 + 1, _CSV_SPLIT)))
     schema = T.StructType().add("doc_id", "long").add("text", "string").add("lang", "string")
     read = files.read_dirty_csv(reader, path, schema, "text")
     return read.select("doc_id", "lang", F.char_length("text").cast("long").alias("n"), F.md5("text").alias("digest"))

@@ -225,3 +225,15 @@ def test_day_folders_are_read_by_their_times(spark, tmp_path):
     assert sorted(str(r[0]) for r in read.select("date").distinct().collect()) == ["2022-01-02", "2022-01-09", "2022-03-01"]
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "2022-01-20" in plan or "19012" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_dirty_csv_is_written_by_as_many_tasks_as_read_the_documents(spark, tmp_path, monkeypatch):
+    from martloom.sources import files
+    from martloom.workload import tables
+
+    rows = spark.range(0, 30, 1, 3).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "line"\n'), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    seen, read = [], files.read_dirty_csv
+    monkeypatch.setattr(files, "read_dirty_csv", lambda reader, path, *rest: (seen.append(len(reader.read.text(path).inputFiles())), read(reader, path, *rest))[1])
+    found = tables.dirty_csv_round_trip(spark, str(tmp_path))
+    assert seen == [3] and sorted(r.doc_id for r in found.collect()) == list(range(30))
