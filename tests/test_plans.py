@@ -254,3 +254,14 @@ def test_zones_count_events_of_far_day_folders(spark, cities, tmp_path, monkeypa
         out = str(tmp_path / f"out{n}")
         cli.main(["geo", *paths, "--output-path", out, "--date-from", "2022-01-01", "--date-to", "2022-01-31", "--only", "zones", *extra])
         assert spark.read.parquet(f"{out}/user_activity_zones").agg(F.max("month_message")).first()[0] == n
+
+
+def test_documents_of_a_settlement_are_parsed_once(spark, rows):
+    """The report starts from rows read once: neither times nor orders go back to the documents, and both take such rows as they are."""
+    from martloom.workload import adapters, warehouse as queries
+
+    plan = queries.settlement_from_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "final_status" not in plan and "delivery_ts" not in plan and "product_payments" in plan
+    orders, sent = adapters.staged_orders(spark, "/root/testdata/sf0.001"), queries._deliveries(spark, "/root/testdata/sf0.001")
+    read = warehouse.closed_orders(orders), warehouse.deliveries_of_orders(sent)
+    assert rows(warehouse.dim_timestamps(*read)) == rows(warehouse.dim_timestamps(orders, sent))
