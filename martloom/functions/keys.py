@@ -61,7 +61,8 @@ def hash_key(*cols: Column, algo: str = "xxhash64") -> Column:
     if algo == "xxhash64":
         key = F.xxhash64(*parts)
     elif algo == "sha256":
-        key = F.sha2(F.concat_ws(NAME_SEPARATOR, *parts), 256)
+        # Null by itself when a part is null: a test of the parts would compute the hashes inside a key of keys again.
+        return F.sha2(F.concat(*[x for p in parts for x in (F.lit(NAME_SEPARATOR), p)][1:]), 256)
     elif algo == "sha256_framed":
         framed = [x for p in parts for x in (F.char_length(p).cast("string"), F.lit(":"), p)]
         key = F.sha2(F.concat(*framed), 256)

@@ -8,7 +8,7 @@ only be kept if the hub knows the key.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -87,16 +87,22 @@ def _only_new(rows: DataFrame, existing: DataFrame | None, keys: Sequence[str])
     return rows if existing is None else new_rows(existing, rows, keys)
 
 
+#: Tables of the social vault that others are made from.
+SOCIAL_PARENTS = ("h_users", "h_groups", "h_dialogs", "l_admins", "l_user_group_activity")
+
+
 def social_vault(
     users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame,
     load_dt: dt.datetime | None = None, algo: str = "xxhash64", existing: Mapping[str, DataFrame] | None = None,
+    write: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Hubs, links and satellites of users, groups, messages and group membership.
 
     With ``existing``, the tables so far, only what they lack is returned: new keys, states other than the parent's last one,
-    and membership events that are not there.
+    and membership events that are not there. ``write`` (``materialise``) gets each of ``SOCIAL_PARENTS`` and its name, and gives back
+    what the other tables are made from; without it every table that is used makes its parents anew.
     """
-    tables = _social_vault(users, groups, dialogs, group_log, load_dt, algo)
+    tables = _social_vault(users, groups, dialogs, group_log, load_dt, algo, write or (lambda rows, name: rows))
     return tables if existing is None else {name: _not_stored(name, rows, existing[name]) for name, rows in tables.items()}
 
 
@@ -106,21 +112,24 @@ def _not_stored(name: str, rows: DataFrame, stored: DataFrame) -> DataFrame:
         return changed_states(rows, stored, key, "load_dt", "hashdiff")
     # Membership events and administrators are rows of their own; hubs and links go by their key.
     row = [c for c in rows.columns if c not in ("load_dt", "load_src")] if name.startswith("s_") else [key]
-    return rows.join(stored.select(*row).distinct(), reduce(lambda a, b: a & b, [rows[c].eqNullSafe(stored[c]) for c in row]), "left_anti")
+    return rows.join(stored.select(*row), reduce(lambda a, b: a & b, [rows[c].eqNullSafe(stored[c]) for c in row]), "left_anti")
 
 
 def _social_vault(
     users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame, load_dt: dt.datetime | None, algo: str,
+    write: Callable[[DataFrame, str], DataFrame],
 ) -> dict[str, DataFrame]:
     src, log_src = "s3", "group_log"
-    h_users = load_hub(users, "id", "hk_user_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="user_id")
-    h_groups = load_hub(groups, "id", "hk_group_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="group_id")
-    h_dialogs = load_hub(dialogs, "message_id", "hk_message_id", {"message_ts": "message_ts"}, src, load_dt, algo=algo)
+    h_users = write(load_hub(users, "id", "hk_user_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="user_id"), "h_users")
+    h_groups = write(load_hub(groups, "id", "hk_group_id", {"registration_dt": "registration_dt"}, src, load_dt, algo=algo, name="group_id"), "h_groups")
+    h_dialogs = write(load_hub(dialogs, "message_id", "hk_message_id", {"message_ts": "message_ts"}, src, load_dt, algo=algo), "h_dialogs")
     user = (h_users, "hk_user_id", "user_id")
     group = (h_groups, "hk_group_id", "group_id")
     message = (h_dialogs, "hk_message_id", "message_id")
-    admins = load_link(groups, [(*group, "id"), (*user, "admin_id")], "hk_l_admin_id", src, load_dt, algo=algo)
-    activity = load_link(group_log, [(*user, "user_id"), (*group, "group_id")], "hk_l_user_group_activity", log_src, load_dt, algo=algo)
+    admins = write(load_link(groups, [(*group, "id"), (*user, "admin_id")], "hk_l_admin_id", src, load_dt, algo=algo), "l_admins")
+    activity = write(
+        load_link(group_log, [(*user, "user_id"), (*group, "group_id")], "hk_l_user_group_activity", log_src, load_dt, algo=algo), "l_user_group_activity"
+    )
 
     def satellite(staged, parent, column, attrs):
         hub, hub_key, business_key = parent
@@ -155,18 +164,19 @@ def auth_history(
 ) -> DataFrame:
     """Every membership event of a known (user, group) relation; the inviter is kept on joining only.
 
-    The relation's key is computed from the log itself. One semi join with the link, which holds
-    only users and groups of the hubs, replaces the lookups in hubs and link.
+    The relation's key is computed from the log itself, once for each pair of a user and a group. One semi join of these pairs with
+    the link, which holds only users and groups of the hubs, replaces the lookups in hubs and link; events meet them by the short ids.
     """
+    pair, link = ["user_id", "group_id"], "hk_l_user_group_activity"
     user, group = hash_key(F.col("user_id"), algo=algo), hash_key(F.col("group_id"), algo=algo)
+    pairs = group_log.select(*pair).where("user_id is not null and group_id is not null").distinct()
+    keyed = pairs.select(*pair, hash_key(user, group, algo=algo).alias(link))
+    # Null-safe, though no key is null: a test for null would be pushed down to the events and hash each of them.
+    known = keyed.join(activity.select(link), keyed[link].eqNullSafe(activity[link]), "left_semi")
     events = group_log.select(
-        hash_key(user, group, algo=algo).alias("hk_l_user_group_activity"),
-        inviter_on_add(F.col("event"), F.col("user_id_from")).alias("user_id_from"),
-        "event",
-        F.col("datetime").alias("event_dt"),
+        *pair, inviter_on_add(F.col("event"), F.col("user_id_from")).alias("user_id_from"), "event", F.col("datetime").alias("event_dt")
     )
-    known = activity.select("hk_l_user_group_activity")
-    return stamp(events.join(known, "hk_l_user_group_activity", "left_semi"), load_src, load_dt)
+    return stamp(events.join(known, pair).select(link, "user_id_from", "event", "event_dt"), load_src, load_dt)
 
 
 # When a satellite's state was sent; null before every other time.

@@ -16,8 +16,13 @@ _LOADED = dt.datetime(2024, 2, 1)
 _ALGO = "sha256"
 
 
+def _social_inputs(spark, sf):
+    """Users, groups, messages and group log, written once: made where they are read, each table of the vault would parse the documents of all events again."""
+    return [materialise(source(spark, sf), source.__name__) for source in (a.social_users, a.social_groups, a.dialogs, a.group_log)]
+
+
 def _social(spark, sf):
-    return vault.social_vault(a.social_users(spark, sf), a.social_groups(spark, sf), a.dialogs(spark, sf), a.group_log(spark, sf), _LOADED, _ALGO)
+    return vault.social_vault(*_social_inputs(spark, sf), _LOADED, _ALGO)
 
 
 def _customer_hub(spark, sf):
@@ -73,7 +78,7 @@ def auth_history(spark, sf):
 
 def social_satellites(spark, sf):
     """Row counts of every table of the social vault."""
-    tables = _social(spark, sf)
+    tables = vault.social_vault(*_social_inputs(spark, sf), _LOADED, _ALGO, write=materialise)
     counts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in tables.items()]
     out = counts[0]
     for more in counts[1:]:
@@ -168,9 +173,11 @@ def satellite_returns(spark, sf):
 
 def social_vault_twice(spark, sf):
     """What a second load of the same social tables adds to the first: nothing, and one row for every renamed group."""
-    tables = {name: materialise(rows, name) for name, rows in _social(spark, sf).items()}
-    groups = a.social_groups(spark, sf).withColumn("group_name", F.when(F.col("id") % 2 == 0, F.concat("group_name", F.lit("!"))).otherwise(F.col("group_name")))
-    again = vault.social_vault(a.social_users(spark, sf), groups, a.dialogs(spark, sf), a.group_log(spark, sf), _LOADED, _ALGO, existing=tables)
+    users, groups, dialogs, group_log = _social_inputs(spark, sf)
+    tables = vault.social_vault(users, groups, dialogs, group_log, _LOADED, _ALGO, write=materialise)
+    tables = {name: rows if name in vault.SOCIAL_PARENTS else materialise(rows, name) for name, rows in tables.items()}
+    renamed = groups.withColumn("group_name", F.when(F.col("id") % 2 == 0, F.concat("group_name", F.lit("!"))).otherwise(F.col("group_name")))
+    again = vault.social_vault(users, renamed, dialogs, group_log, _LOADED, _ALGO, tables, materialise)
     counts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in again.items()]
     out = counts[0]
     for more in counts[1:]:

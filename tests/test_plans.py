@@ -159,6 +159,55 @@ def test_changed_states_records_a_return(spark, rows):
     assert rows(got, "p", "name") == [(1, "A"), (3, "N")]
 
 
+def social_staging(spark, more=False):
+    t = [dt.datetime(2024, 1, d) for d in range(1, 10)]
+    users = [(1, "c1", t[0], "AU", 20), (2, "c2", t[1], None, None)] + ([(3, "c3", t[2], "NZ", 30)] if more else [])
+    groups = [(10, 1, "g10", t[0], True), (20, 7, "g20!" if more else "g20", t[1], False)]  # 7 is no user
+    dialogs = [(100, t[3], 1, 2, "hi", 10), (101, t[3], 2, 1, None, None)] + ([(102, t[4], 3, 1, "new", 20)] if more else [])
+    log = [(10, 1, 2, "add", t[3]), (10, 1, None, "leave", t[4]), (10, 1, None, "leave", t[4]), (20, 2, None, "add", t[3]), (10, 9, 1, "add", t[3]), (None, 1, 1, "add", t[3]), (10, None, 1, "add", t[3])]
+    log += [(10, 1, 2, "add", t[5]), (20, 3, 1, "add", t[5])] if more else []
+    return (
+        spark.createDataFrame(users, "id long, chat_name string, registration_dt timestamp, country string, age int"),
+        spark.createDataFrame(groups, "id long, admin_id long, group_name string, registration_dt timestamp, is_private boolean"),
+        spark.createDataFrame(dialogs, "message_id long, message_ts timestamp, message_from long, message_to long, message string, message_group long"),
+        spark.createDataFrame(log, "group_id long, user_id long, user_id_from long, event string, datetime timestamp"),
+    )
+
+
+def test_social_vault_writes_the_parents_once(spark, rows):
+    written = []
+
+    def write(df, name):
+        written.append(name)
+        return df.localCheckpoint()
+
+    when = dt.datetime(2024, 2, 1)
+    plain = vault.social_vault(*social_staging(spark), when, "sha256")
+    first = vault.social_vault(*social_staging(spark), when, "sha256", write=write)
+    assert sorted(written) == sorted(vault.SOCIAL_PARENTS)
+    assert {n: rows(t) for n, t in first.items()} == {n: rows(t) for n, t in plain.items()}
+    sizes = {n: t.count() for n, t in first.items()}
+    assert sizes["s_auth_history"] == 4 and sizes["l_user_group_activity"] == 2 and sizes["l_admins"] == sizes["s_admins"] == 1
+    assert all(not rows(t) for t in vault.social_vault(*social_staging(spark), when, "sha256", first, write).values())
+    again = vault.social_vault(*social_staging(spark, more=True), when, "sha256", first, write)
+    assert rows(again["h_users"], "user_id") == [(3,)] and rows(again["s_user_socdem"], "country", "age") == [("NZ", 30)]
+    assert rows(again["h_dialogs"], "message_id") == [(102,)] and again["h_groups"].count() == again["l_admins"].count() == again["s_admins"].count() == 0
+    assert rows(again["s_group_name"], "group_name") == [("g20!",)] and again["s_group_private_status"].count() == 0
+    assert again["l_user_message"].count() == again["l_groups_dialogs"].count() == again["l_user_group_activity"].count() == 1
+    assert rows(again["s_auth_history"], "user_id_from", "event", "event_dt") == [(1, "add", dt.datetime(2024, 1, 6)), (2, "add", dt.datetime(2024, 1, 6))]
+
+
+def test_auth_history_keys_each_pair_once(spark, rows):
+    *_, log = social_staging(spark)
+    activity = vault.social_vault(*social_staging(spark), algo="sha256")["l_user_group_activity"].localCheckpoint()
+    history = vault.auth_history(log, activity, algo="sha256")
+    assert rows(history.select("hk_l_user_group_activity").distinct()) == rows(activity, "hk_l_user_group_activity")
+    # Events are as many as the log, pairs are few: keys are hashed in the result of the pairs' distinct, and nowhere below it.
+    plan = history._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    hashed, distinct = ([i for i, line in enumerate(plan) if text in line] for text in ("sha2(", "Aggregate [user_id"))
+    assert hashed and distinct and max(hashed) <= min(distinct)
+
+
 def test_counters_accept_flat_and_nested_messages(spark, rows):
     nested = '{"user_id":"u","products":[{"product_id":"p","product_name":"P","category_id":"c","category_name":"C","quantity":3}]}'
     flat = '{"user_id":"u","product_id":"p","product_name":"P","category_id":"c","category_name":"C"}'

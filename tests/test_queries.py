@@ -25,3 +25,9 @@ def test_plans_hold_no_python_and_no_cartesian_product(spark):
         plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "PythonUDF"):
             assert node not in plan, f"{name}: {node}"
+
+
+@pytest.mark.parametrize("name", ("social_vault_twice", "social_satellites", "users_with_messages", "added_users", "group_conversion", "ordered_group_conversion", "auth_history"))
+def test_social_queries_do_not_parse_documents_for_each_table(spark, name):
+    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and "props" not in plan
