@@ -115,3 +115,12 @@ def test_framed_keys_tell_parts_with_separators_apart(spark):
     assert found == [hashlib.sha256(t.encode()).hexdigest() if t else None for t in ("3:a_b1:c", "1:a3:b_c", None, "0:3:1:a")]
     plain = [r[0] for r in rows.select(keys.hash_key(F.col("x"), F.col("y"), algo="sha256")).collect()]
     assert plain[0] == plain[1] and found[0] != found[1]
+
+
+def test_packed_keys_come_back_as_they_were(spark):
+    from martloom.functions.keys import packed, unpacked
+
+    keys = [str(uuid.uuid5(uuid.NAMESPACE_DNS, "x")), str(uuid.uuid5(uuid.NAMESPACE_DNS, "x")).upper(), "", "a", "\u00e9-1", "0" * 36, "0" * 32, "f" * 16, "-" * 36, None]
+    found = spark.createDataFrame([(k,) for k in keys], "k string").select("k", packed(F.col("k")).alias("p"), unpacked(packed(F.col("k"))).alias("u")).collect()
+    assert [r.u for r in found] == keys and len({bytes(r.p) for r in found if r.p is not None}) == len(keys) - 1
+    assert len(found[0].p) == 17 and found[-1].p is None
