@@ -55,10 +55,10 @@ def friend_recommendations(
     zones = city_timezones(cities, default=default_zone)
     positions = zoned_positions(last_position(sent), zones)
     pairs = nearby_pairs(geo_log.subscriptions(log), positions, km, carry=("timezone", "location_ts"))
-    fresh = not_yet_talked(pairs, sent)
+    # Of both sides' columns, only what is shown of a pair goes on.
     zone = F.coalesce("timezone_left", "timezone_right", F.lit(default_zone))
+    fresh = not_yet_talked(pairs.select("user_left", "user_right", zone.alias("zone_id"), F.coalesce("location_ts_left", "location_ts_right").alias("_at")), sent)
     now = F.current_timestamp() if processed_dttm is None else F.lit(processed_dttm).cast("timestamp")
     return fresh.select(
-        "user_left", "user_right", now.alias("processed_dttm"), zone.alias("zone_id"),
-        local_time(F.coalesce("location_ts_left", "location_ts_right"), zone, time_as_text).alias("local_time"),
+        "user_left", "user_right", now.alias("processed_dttm"), "zone_id", local_time(F.col("_at"), F.col("zone_id"), time_as_text).alias("local_time"),
     )

@@ -200,6 +200,20 @@ def test_close_pairs_equal_brute_force(spark, rows, split):
     assert got == sorted(expected, key=repr) and len(got) > 200
 
 
+def test_pairs_of_a_crowd_are_found_once_and_never_moved(spark, rows):
+    """Members that share many channels at one place are many pairs, each found once; cells of many small groups, and members of several places, go by group."""
+    crowd = [(g, u, 10.0, 20.0 + u % 2 * 0.001) for u in range(40) for g in range(u % 4, 9)]
+    found = pairs.close_pairs(spark.createDataFrame(crowd, "g int, u long, lat double, lon double"), ["g"], "u", 1.0, carry=["lon"])
+    assert rows(found, "u_left", "u_right") == sorted(((a, b) for a in range(40) for b in range(a + 1, 40)), key=repr)
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    mixed = crowd + [(100 + u // 2, 100 + u, -5.0, 6.0) for u in range(30)] + [(50, 0, -5.0, 6.0), (50, 100, -5.0, 6.0), (None, 1, -5.0, 6.0), (None, 2, -5.0, 6.0)]
+    want = {(a[1], b[1]) for a, b in itertools.product(mixed, mixed) if a[0] is not None and a[0] == b[0] and a[1] < b[1] and km(a[2:], b[2:]) <= 1.0}
+    rows_ = spark.createDataFrame(mixed, "g int, u long, lat double, lon double")
+    for groups in (["g"], ["g", "h"]):
+        got = pairs.close_pairs(rows_.withColumn("h", F.col("g") + 1), groups, "u", 1.0, rows_per_split=7)
+        assert rows(got, "u_left", "u_right") == sorted(want, key=repr) and (0, 100) in want and (100, 101) in want
+
+
 def test_members_of_pairs_are_never_broadcast(spark):
     members = spark.range(200).select((F.col("id") % 2).alias("g"), F.col("id").alias("u"), F.lit(10.0).alias("lat"), (F.col("id") * 1e-3).alias("lon"))
     plan = pairs.close_pairs(members, ["g"], "u", 1.0)._jdf.queryExecution().sparkPlan().toString()
