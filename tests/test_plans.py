@@ -332,3 +332,41 @@ def test_a_whole_run_over_the_same_staging_writes_no_bucket_again(spark):
     s["restaurants"] = s["restaurants"].withColumn("object_value", F.regexp_replace("object_value", '"name": "', '"name": "New '))
     assert versions()["dm_restaurants"] > before["dm_restaurants"]
     assert merged(spark, f"{base}/dm_restaurants").where("restaurant_name like 'New %'").count() == merged(spark, f"{base}/dm_restaurants").count()
+
+
+def test_documents_of_deliveries_are_parsed_once_for_a_table(spark, rows):
+    """Not again by the filter of those that hold an order or a delivery; rows parsed beforehand give the same."""
+    from martloom.plans import warehouse
+    from martloom.schemas import DELIVERY_DOC
+
+    docs = [("o1", '{"order_id":"o1","delivery_id":"d1","address":"a","sum":"1.5","tip_sum":"x","rate":"4","courier_id":"c","order_ts":"2024-01-02 00:00:00"}'),
+            ("o2", '{"order_id":"o2"}'), ("o3", '{"delivery_id":"d3"}'), ("o4", "no document"), ("o5", None)]
+    staged = spark.createDataFrame([(i, d, dt.datetime(2024, 1, 1)) for i, d in docs], "object_id string, object_value string, update_ts timestamp")
+    before = warehouse.parsed(staged, DELIVERY_DOC)
+    assert "object_value" not in before.columns
+    for table, n in ((warehouse.courier_order_sums, 2), (warehouse.dim_deliveries, 2), (warehouse.deliveries_of_orders, 5)):
+        found = table(staged)
+        assert rows(found) == rows(table(before)) and len(rows(found)) == n
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_ids_of_landed_records_are_read_once(spark, rows):
+    from martloom.sources.increments import land_payloads
+
+    records = spark.createDataFrame([("1",), ("",), (None,), ("2",)], "id string").select(F.to_json(F.struct("id")).alias("value"))
+    landed = land_payloads(records, ["id"], at=dt.datetime(2024, 1, 1))
+    assert rows(landed, "object_id", "object_value") == [("1", '{"id":"1"}'), ("2", '{"id":"2"}')]
+    assert landed._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+
+
+def test_payments_leave_out_groups_whose_least_flag_is_a_return(spark, tmp_path, rows):
+    from martloom.workload import adapters
+
+    flags = {1: ["R"], 2: ["A", "R"], 3: ["N", "R"], 4: ["N"], 5: [None], 6: [None, "N"], 7: ["A", "N"], 8: ["R", "Z"], 9: ["Z"]}
+    lines = [(order, 1, flag, 1.0, 2.0, 0.1, 0.2) for order, of in flags.items() for flag in of]
+    schema = "l_orderkey long, l_partkey long, l_returnflag string, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    events = adapters.bonus_events(spark, str(tmp_path))
+    assert "SortAggregate" not in events._jdf.queryExecution().sparkPlan().toString()
+    paid = events.select(F.get_json_object("event_value", "$.order_id").cast("int").alias("o")).where(F.col("event_value").contains("product_payments"))
+    assert [r[0] for r in rows(paid)] == [2, 3, 4, 6, 7, 9]
